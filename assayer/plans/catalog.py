@@ -1,4 +1,4 @@
 """All registered queries; importing a module registers its queries."""
 
-from . import profile_queries  # noqa: F401
+from . import clean_queries, profile_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

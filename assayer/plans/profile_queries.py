@@ -14,7 +14,7 @@ _union = " UNION ALL ".join
 
 def _describe_sql(view: str, col: str, extra: str = "") -> str:
     return (
-        f"SELECT {extra}'{col}' AS feature, COUNT({col}) AS n, {r(f'AVG({col})')} AS mean, {r(f'STDDEV_SAMP({col})')} AS std, "
+        f"SELECT {extra}'{col}' AS feature, COUNT({col}) AS n, {r(f'AVG({col})', 5)} AS mean, {r(f'STDDEV_SAMP({col})', 5)} AS std, "
         f"{r(f'MIN({col})')} AS min, {r(f'QUANTILE_CONT({col}, 0.25)')} AS q25, {r(f'QUANTILE_CONT({col}, 0.5)')} AS q50, "
         f"{r(f'QUANTILE_CONT({col}, 0.75)')} AS q75, {r(f'MAX({col})')} AS max FROM {view}"
     )
@@ -33,7 +33,7 @@ def p01(spark, sf):
 @query("p02_describe", with_views("line_features", _union(_describe_sql("line_features", c) for c in LINE_COLS)))
 def p02(spark, sf):
     out = profile.describe(views.line_features(spark, sf), LINE_COLS)
-    return rounded(out, ["mean", "std", "min", "q25", "q50", "q75", "max"])
+    return rounded(rounded(out, ["mean", "std"], 5), ["min", "q25", "q50", "q75", "max"])
 
 
 @query("p03_null_counts", with_views("doc_features", "SELECT * FROM (" + _union(
