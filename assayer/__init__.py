@@ -1 +1,9 @@
 """Tabular-ML data preparation, selection and evaluation on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the task, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL_LIMIT = 300_000      # rows x columns that the built-in aggregate may hold
+CELL_LIMIT = 1_000_000    # rows x columns that the built-in aggregate may hold
 GROUP_LIMIT = 10_000      # groups whose quantiles may come to the driver
 LIST_LIMIT = 20_000       # distinct values read per bracket at the end
 ACCURACY = 10_000         # sketch accuracy: rank error at most n / ACCURACY

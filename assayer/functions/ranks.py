@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +50,8 @@ def running_total(df: DataFrame, key: str, weight: str, bounds: list[float], by:
     two cuts is summed in its own task.
     """
     groups = [by] if by else []
-    cuts = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    sliced = df.withColumn("__b", F.size(F.filter(cuts, lambda b: b < F.col(key))))
+    slice_no = reduce(add, [(F.col(key) > F.lit(float(b))).cast("int") for b in bounds], F.lit(0))
+    sliced = df.withColumn("__b", slice_no)
     inside = Window.partitionBy(*groups, "__b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     summed = sliced.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     offsets = _offsets(sliced, groups, "__b", F.col(weight))

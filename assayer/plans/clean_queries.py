@@ -29,13 +29,13 @@ def r02(spark, sf):
         rnd(derive.ratio_or_null("sum_qty", "max_tax", 0.0), 4).alias("ratio_filled"))
 
 
-@query("r03_sum_difference_product", with_views("order_features", f"""SELECT row_id, {r('sum_qty + min_qty', 4)} AS total,
-  {r('total_price - sum_price', 4)} AS unbound, {r('sum_qty * avg_disc', 4)} AS body {_OF}"""))
+@query("r03_sum_difference_product", with_views("order_features", f"""SELECT row_id, {r('sum_qty + min_qty', 8)} AS total,
+  {r('total_price - sum_price', 8)} AS unbound, {r('sum_qty * avg_disc', 8)} AS body {_OF}"""))
 def r03(spark, sf):
     df = views.order_features(spark, sf)
     out = derive.derive(df, {"total": F.col("sum_qty") + F.col("min_qty"), "unbound": F.col("total_price") - F.col("sum_price"),
                              "body": F.col("sum_qty") * F.col("avg_disc")})
-    return rounded(out.select("row_id", "total", "unbound", "body"), ["total", "unbound", "body"], 4)
+    return rounded(out.select("row_id", "total", "unbound", "body"), ["total", "unbound", "body"], 8)
 
 
 @query("r04_dissociation", with_views("order_features", f"SELECT row_id, {r('sum_qty / (1 + POW(10, max_tax * 30 - 1.81))')} AS molecular {_OF}"))
@@ -61,24 +61,24 @@ _R6_PAIRS = [("sum_qty", "avg_disc"), ("sum_qty", "min_qty"), ("avg_disc", "min_
 
 
 @query("r06_pair_products", with_views("order_features", "SELECT row_id, " + ", ".join(
-    f"{r(f'{a} * {b}', 4)} AS {a}_mul_{b}, {r(f'{a} / ({b} + 1e-6)', 4)} AS {a}_div_{b}" for a, b in _R6_PAIRS) + f" {_OF}"))
+    f"{r(f'{a} * {b}', 8)} AS {a}_mul_{b}, {r(f'{a} / ({b} + 1e-6)', 8)} AS {a}_div_{b}" for a, b in _R6_PAIRS) + f" {_OF}"))
 def r06(spark, sf):
     out = derive.pair_products(views.order_features(spark, sf).select("row_id", *_R6), _R6).drop(*_R6)
-    return rounded(out, out.columns[1:], 4)
+    return rounded(out, out.columns[1:], 8)
 
 
 @query("r07_poly2", with_views("order_features", "SELECT row_id, " + ", ".join(
-    [f"{r(f'{c} * {c}', 4)} AS poly_{c}_2" for c in _R6] + [f"{r(f'{a} * {b}', 4)} AS poly_{a}_{b}" for a, b in _R6_PAIRS]) + f" {_OF}"))
+    [f"{r(f'{c} * {c}', 8)} AS poly_{c}_2" for c in _R6] + [f"{r(f'{a} * {b}', 8)} AS poly_{a}_{b}" for a, b in _R6_PAIRS]) + f" {_OF}"))
 def r07(spark, sf):
     out = derive.poly2(views.order_features(spark, sf).select("row_id", *_R6), _R6).drop(*_R6)
-    return rounded(out, out.columns[1:], 4)
+    return rounded(out, out.columns[1:], 8)
 
 
 @query("r07_poly2_interactions", with_views("order_features", "SELECT row_id, " + ", ".join(
-    f"{r(f'{a} * {b}', 4)} AS poly_{a}_{b}" for a, b in _R6_PAIRS) + f" {_OF}"))
+    f"{r(f'{a} * {b}', 8)} AS poly_{a}_{b}" for a, b in _R6_PAIRS) + f" {_OF}"))
 def r07_inter(spark, sf):
     out = derive.poly2(views.order_features(spark, sf).select("row_id", *_R6), _R6, interaction_only=True).drop(*_R6)
-    return rounded(out, out.columns[1:], 4)
+    return rounded(out, out.columns[1:], 8)
 
 
 # The order table in the column names that the domain bundles expect.
@@ -124,12 +124,12 @@ def domain_table(spark, sf):
 
 def _bundle_query(name):
     made = _DOMAIN_SQL[name]
-    sql = _DOMAIN_CTE + "SELECT row_id, " + ", ".join(f"{r(e, 4)} AS {n}" for n, e in made.items()) + " FROM domain"
+    sql = _DOMAIN_CTE + "SELECT row_id, " + ", ".join(f"{r(e, 8)} AS {n}" for n, e in made.items()) + " FROM domain"
 
     @query(f"r08_bundle_{name}", with_views("order_features", sql))
     def run(spark, sf):
         out = derive.bundle(domain_table(spark, sf), name).select("row_id", *made)
-        return rounded(out, list(made), 4)
+        return rounded(out, list(made), 8)
 
 
 for _name in _DOMAIN_SQL:
@@ -306,7 +306,7 @@ def f05(spark, sf):
     return rounded(out.select("event_id", "value"), ["value"], 5)
 
 
-@query("f05_quantile_uniform", f"""WITH marks AS (SELECT i, QUANTILE_CONT(value, i / 999.0) AS q FROM events, RANGE(1000) t(i) GROUP BY i),
+@query("f05_quantile_uniform", f"""WITH marks AS (SELECT UNNEST(RANGE(1000)) AS i, UNNEST(QUANTILE_CONT(value, [{", ".join(repr(i / 999) for i in range(1000))}])) AS q FROM events),
 up AS (SELECT event_id, value, MAX(i) AS i FROM events JOIN marks ON q <= value GROUP BY 1, 2),
 down AS (SELECT event_id, MIN(i) AS j FROM events JOIN marks ON q >= value GROUP BY 1)
 SELECT up.event_id, {r('''CASE WHEN down.j = 0 THEN 0.0 WHEN up.i = 999 THEN 1.0
