@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -33,15 +34,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     one process; on a cluster a machine-local folder would lose data with its
     executor, so that case is an error.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which all executors can read and write."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="assayer-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table or model in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
