@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL_LIMIT = 1_000_000    # rows x columns that the built-in aggregate may hold
+CELL_LIMIT = 4_000_000    # rows x columns that the built-in aggregate may hold
 GROUP_LIMIT = 10_000      # groups whose quantiles may come to the driver
 LIST_LIMIT = 20_000       # distinct values read per bracket at the end
 ACCURACY = 10_000         # sketch accuracy: rank error at most n / ACCURACY
@@ -131,11 +131,12 @@ def _count_cells(work, brackets, settled, wanted, list_limit):
     for n in names:
         over = " + ".join(f"if({n} > e_{n}_{i}, 2, if({n} = e_{n}_{i}, 1, 0))" for i in range(width))
         cell = F.expr(f"cast({over} as int)")
-        parts.append(F.when(F.col(f"m_{n}").isNotNull() & F.col(n).isNotNull(),
-                            F.struct(F.lit(n).alias("n"), F.col(n).alias("v"), cell.alias("cell"), F.col(f"m_{n}").alias("m"))))
+        parts.append(F.struct(F.lit(n).alias("n"), F.col(n).alias("v"), cell.alias("cell"), F.col(f"m_{n}").alias("m")))
+    # A filter after the explode stays in generated code; compacting the array would not.
     cells = (
-        joined.select("__g", F.explode(F.array_compact(F.array(*parts))).alias("s"))
-        .select("__g", "s.n", "s.cell", F.expr("if(shiftright(s.m, s.cell) & 1 = 1, s.v, null)").alias("v"))
+        joined.select("__g", F.explode(F.array(*parts)).alias("s"))
+        .select("__g", "s.*").filter("v is not null and m is not null")
+        .select("__g", "n", "cell", F.expr("if(shiftright(m, cell) & 1 = 1, v, null)").alias("v"))
         .groupBy("__g", "n", "cell", "v").agg(F.count(F.lit(1)).alias("rows"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

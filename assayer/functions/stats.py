@@ -49,13 +49,15 @@ def collect_aggs(df: DataFrame, aggs: dict[str, Column], chunk: int = CHUNK) ->
     return out
 
 
-def moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
-    """count, mean, population and sample deviation, min, max and max |x| per column."""
-    kinds = {
-        "n": F.count, "mean": F.avg, "std_pop": F.stddev_pop, "std": F.stddev_samp,
-        "min": F.min, "max": F.max, "absmax": lambda c: F.max(F.abs(c)),
-    }
-    got = collect_aggs(df, {f"{k}|{c}": fn(q(c).cast("double")) for c in cols for k, fn in kinds.items()})
+MOMENTS = {
+    "n": F.count, "mean": F.avg, "std_pop": F.stddev_pop, "std": F.stddev_samp,
+    "min": F.min, "max": F.max, "absmax": lambda c: F.max(F.abs(c)),
+}
+
+
+def moments(df: DataFrame, cols: list[str], kinds: tuple[str, ...] = ("n", "mean", "std_pop")) -> dict[str, dict]:
+    """The wanted moments of every column on the driver; one pass."""
+    got = collect_aggs(df, {f"{k}|{c}": MOMENTS[k](q(c).cast("double")) for c in cols for k in kinds})
     return {c: {k: got[f"{k}|{c}"] for k in kinds} for c in cols}
 
 

@@ -13,19 +13,19 @@ from .profile import class_box
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """``feature, bin, lo, hi, n`` with equal-width bins; the top edge is in the last bin."""
-    spread = moments(df, cols)
+    spread = moments(df, cols, ("n", "min", "max"))
     spread = {c: s for c, s in spread.items() if s["n"]}
 
     def slot(c):
         low, width = spread[c]["min"], spread[c]["max"] - spread[c]["min"]
         v = q(c).cast("double")
         place = F.floor((v - F.lit(low)) / F.lit(width) * F.lit(float(bins))) if width > 0 else F.lit(0)
-        index = F.least(place, F.lit(bins - 1)).cast("int")
-        return F.when(v.isNotNull(), F.struct(F.lit(c).alias("feature"), index.alias("bin")))
+        index = F.when(v.isNotNull(), F.least(place, F.lit(bins - 1)).cast("int"))
+        return F.struct(F.lit(c).alias("feature"), index.alias("bin"))
 
     found = (
-        df.select(F.explode(F.array_compact(F.array(*[slot(c) for c in spread]))).alias("s"))
-        .groupBy("s.feature", "s.bin").agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.explode(F.array(*[slot(c) for c in spread])).alias("s")).select("s.*").filter("bin is not null")
+        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
     grid = df.sparkSession.createDataFrame(
         [(c, b, s["min"] + (s["max"] - s["min"]) * b / bins, s["min"] + (s["max"] - s["min"]) * (b + 1) / bins)

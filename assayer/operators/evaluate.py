@@ -112,7 +112,7 @@ def auc_per_class(df: DataFrame, label: str, proba: dict[int, str], digits: int
         spots = spots.withColumn("s", F.round("s", digits))
     merged = spots.groupBy("c", "s").agg(F.count_if("pos").alias("pos"), F.count_if(~F.col("pos")).alias("neg"))
     cuts = df.select(F.explode(F.array(*proba.values())).alias("s")).agg(
-        F.percentile_approx("s", [i / AUC_SLICES for i in range(1, AUC_SLICES)], 1000).alias("q")).first()["q"]
+        F.percentile_approx("s", [i / AUC_SLICES for i in range(1, AUC_SLICES)], 256).alias("q")).first()["q"]
     ranked = running_total(merged, "s", "neg", sorted(set(cuts or [])), by="c", out="neg_below")
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     table = ranked.groupBy(F.col("c").alias("label")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), won.alias("won"))

@@ -21,7 +21,8 @@ EDGE = 1e-7  # probabilities are kept this far from 0 and 1 before the inverse n
 def scale_fit(df: DataFrame, cols: list[str], how: str = "standard", exact: bool = True, n_quantiles: int = 1000) -> dict:
     """Learned parameters ``{"how", "columns": {column: numbers}}``; a zero spread becomes 1."""
     if how in ("standard", "minmax", "maxabs"):
-        stats = moments(df, cols)
+        needed = {"standard": ("n", "mean", "std_pop"), "minmax": ("n", "min", "max"), "maxabs": ("n", "absmax")}[how]
+        stats = moments(df, cols, needed)
         pick = {
             "standard": lambda s: (s["mean"], s["std_pop"]),
             "minmax": lambda s: (s["min"], s["max"] - s["min"]),

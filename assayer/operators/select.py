@@ -62,10 +62,9 @@ def binned_mutual_information(df: DataFrame, cols: list[str], label: str, bins:
         return reduce(lambda a, b: a + b, [(v > F.lit(e)).cast("int") for e in edges], F.lit(0))
 
     y = slot(label).cast("string") if bin_label else q(label).cast("string")
-    cells = F.array_compact(F.array(*[
-        F.when(q(c).isNotNull() & q(label).isNotNull(), F.struct(F.lit(c).alias("feature"), slot(c).alias("b"))) for c in cols
-    ]))
-    counts = df.select(y.alias("y"), F.explode(cells).alias("s")).groupBy("s.feature", "s.b", "y").agg(F.count(F.lit(1)).alias("n"))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.when(q(c).isNotNull(), slot(c)).alias("b")) for c in cols])
+    spots = df.filter(q(label).isNotNull()).select(y.alias("y"), F.explode(cells).alias("s")).select("y", "s.*").filter("b is not null")
+    counts = spots.groupBy("feature", "b", "y").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("feature"))
     in_bin = F.sum("n").over(Window.partitionBy("feature", "b"))
     in_class = F.sum("n").over(Window.partitionBy("feature", "y"))

@@ -13,7 +13,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stats import q
@@ -163,8 +163,9 @@ def better(metric: str, a: float, b: float) -> bool:
 def in_parallel(tasks, parallelism: int = 4) -> list:
     """Run independent Spark jobs from a few driver threads, as CrossValidator does."""
     pool = ThreadPool(max(1, parallelism))
+    run = inheritable_thread_target(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())(lambda task: task())
     try:
-        return pool.map(inheritable_thread_target(lambda task: task()), list(tasks))
+        return pool.map(run, list(tasks))
     finally:
         pool.close()
 
@@ -177,13 +178,15 @@ def with_folds(df: DataFrame, row_id: str, label: str | None, k: int, seed=42) -
 
 
 def cross_validate(df: DataFrame, recipe: Recipe, label: str, row_id: str = "row_id", k: int = 3, seed=42, parallelism: int = 4) -> list[dict]:
-    """The metrics of each fold; ``df`` may already carry its ``fold`` column."""
-    folded = with_folds(df, row_id, label, k, seed)
+    """The metrics of each fold; ``df`` may already carry its ``fold`` column (and should be kept then)."""
+    if "fold" not in df.columns:
+        with cached(with_folds(df.select(row_id, *recipe.cols, label), row_id, label, k, seed)) as folded:
+            return cross_validate(folded, recipe, label, row_id, k, seed, parallelism)
 
     def one(i):
         def run():
-            model = fit(folded.filter(F.col("fold") != i), recipe, label, row_id)
-            return {"fold": i, **score(model.transform(folded.filter(F.col("fold") == i)), label)}
+            model = fit(df.filter(F.col("fold") != i), recipe, label, row_id)
+            return {"fold": i, **score(model.transform(df.filter(F.col("fold") == i)), label)}
         return run
 
     return in_parallel([one(i) for i in range(k)], parallelism)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,8 +55,8 @@ def is_monotonic(df: DataFrame, col: str, order: str) -> bool:
     """
     edges = df.stat.approxQuantile(order, [i / 64 for i in range(1, 64)], 0.002)
     cuts = sorted(set(edges))
-    part = F.size(F.filter(F.array(*[F.lit(float(e)) for e in cuts]), lambda e: e < F.col(order))) if cuts else F.lit(0)
-    rows = df.select(F.col(col).alias("v"), F.col(order).alias("o")).withColumn("p", part if cuts else F.lit(0))
+    part = reduce(add, [(F.col(order) > F.lit(float(e))).cast("int") for e in cuts], F.lit(0))
+    rows = df.select(F.col(col).alias("v"), F.col(order).alias("o"), part.alias("p"))
     inside = Window.partitionBy("p").orderBy("o")
     stepped = rows.withColumn("fall", F.lag("v").over(inside) > F.col("v"))
     ends = stepped.groupBy("p").agg(F.max(F.coalesce("fall", F.lit(False))).alias("fall"), F.min_by("v", "o").alias("first"), F.max_by("v", "o").alias("last"))
