@@ -30,29 +30,39 @@ def is_regressor(name: str) -> bool:
     return name in REGRESSORS
 
 
-def estimator(name: str, params: dict | None = None, n_rows: int | None = None, label: str = "label", seed: int = 42, weight: str | None = None):
+def estimator(
+    name: str, params: dict | None = None, n_rows: int | None = None, label: str = "label", seed: int = 42,
+    weight: str | None = None, label_std: float | None = None,
+):
     """A ``pyspark.ml`` estimator on the columns ``features`` and ``label``.
 
-    Penalties are translated from sums over rows to Spark's mean over rows, for
-    which ``n_rows`` is needed (``ridge`` alpha, ``logistic`` and ``svc`` C).
+    ``alpha`` and ``C`` keep their usual meaning. Spark penalises the mean loss
+    instead of the sum, for which ``n_rows`` is needed, and its linear regression
+    divides the squared penalty (not the absolute one) by the population
+    deviation of the label, for which ``label_std`` is needed.
     """
     p = dict(params or {})
     io = {"featuresCol": "features", "labelCol": label}
     if weight and name not in ("boost_classifier", "linear_svc", "rbf_svc"):
         io["weightCol"] = weight
-    n = float(n_rows or 1)
+    n, spread = float(n_rows or 1), float(label_std or 1.0)
     if name == "ols":
         return LinearRegression(solver="normal", **io)
     if name == "ridge":
-        return LinearRegression(regParam=p.get("alpha", 1.0) / n, elasticNetParam=0.0, standardization=False, **io)
+        return LinearRegression(regParam=p.get("alpha", 1.0) / n * spread, elasticNetParam=0.0, standardization=False, **io)
     if name in ("elastic_net", "lasso"):
         share = 1.0 if name == "lasso" else p.get("l1_ratio", 0.5)
-        return LinearRegression(regParam=p.get("alpha", 1.0), elasticNetParam=share, standardization=False, maxIter=p.get("max_iter", 100), **io)
+        absolute, squared = p.get("alpha", 1.0) * share, p.get("alpha", 1.0) * (1 - share) * spread
+        total = absolute + squared
+        return LinearRegression(regParam=total, elasticNetParam=absolute / total if total else 0.0, standardization=False,
+                                maxIter=p.get("max_iter", 100), **io)
     if name == "svr":
         # A linear fit with a loss that is linear in the tails.
-        return LinearRegression(loss="huber", epsilon=p.get("epsilon", 1.35), regParam=1.0 / (p.get("C", 1.0) * n), maxIter=p.get("max_iter", 50), **io)
+        return LinearRegression(loss="huber", epsilon=p.get("epsilon", 1.35), regParam=1.0 / (p.get("C", 1.0) * n), standardization=False,
+                                maxIter=p.get("max_iter", 50), **io)
     if name == "logistic":
-        return LogisticRegression(family="multinomial", regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=p.get("l1_ratio", 0.0), maxIter=p.get("max_iter", 100), **io)
+        return LogisticRegression(family="multinomial", regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=p.get("l1_ratio", 0.0),
+                                  standardization=False, maxIter=p.get("max_iter", 100), **io)
     depth = min(p.get("max_depth") or MAX_DEPTH, MAX_DEPTH)
     tree = {"maxDepth": depth, "seed": seed, "minInstancesPerNode": p.get("min_samples_leaf", 1)}
     if name == "forest_regressor":
@@ -66,7 +76,7 @@ def estimator(name: str, params: dict | None = None, n_rows: int | None = None,
     if name == "boost_classifier":
         return OneVsRest(classifier=GBTClassifier(**boost), parallelism=p.get("parallelism", 4), **io)
     if name in ("linear_svc", "rbf_svc"):
-        svc = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n), maxIter=p.get("max_iter", 50))
+        svc = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n), standardization=False, maxIter=p.get("max_iter", 50))
         return OneVsRest(classifier=svc, parallelism=p.get("parallelism", 4), **io)
     raise ValueError(f"unknown estimator {name!r}")
 
@@ -77,9 +87,13 @@ def assembled(df: DataFrame, cols: list[str], label: str | None = None, out: str
     return df.withColumn("label", F.col(label).cast("double")) if label else df
 
 
-def pipeline(cols: list[str], name: str, params: dict | None = None, n_rows: int | None = None, label: str = "label", seed: int = 42) -> Pipeline:
+def pipeline(
+    cols: list[str], name: str, params: dict | None = None, n_rows: int | None = None, label: str = "label", seed: int = 42,
+    label_std: float | None = None,
+) -> Pipeline:
     """Assembler and estimator as one savable pipeline."""
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), estimator(name, params, n_rows, label, seed)])
+    stage = estimator(name, params, n_rows, label, seed, label_std=label_std)
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), stage])
 
 
 def save_pipeline(model: PipelineModel, path: str) -> None:

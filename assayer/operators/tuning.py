@@ -112,7 +112,8 @@ def fit(train: DataFrame, recipe: Recipe, label: str, row_id: str = "row_id") ->
         fitted.recipe = replace(recipe, params={**recipe.params, "gamma": gamma})
     vector = fitted._vector(ready).select("features", "label", *([weight] if weight else []))
     with cached(vector) as rows:
-        stage = models.estimator(recipe.model, recipe.params, rows.count(), "label", recipe.seed, weight)
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("std")).first()
+        stage = models.estimator(recipe.model, fitted.recipe.params, size["n"], "label", recipe.seed, weight, size["std"])
         fitted.model = stage.fit(rows)
     return fitted
 

@@ -61,13 +61,29 @@ def s06(spark, sf):
     return ledger.run_metrics(ledger.read_runs(spark, path), ["mae"]).select("run_name", rnd("mae").alias("mae"))
 
 
-@query("s07_saved_pipeline")
+_TEST_ROWS = """CASE WHEN ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(concat('42:', row_id)), row_id)
+  <= FLOOR(0.2 * COUNT(*) OVER (PARTITION BY quality) + 0.5) THEN 'test' ELSE 'train' END"""
+
+
+def ols_ctes(view: str, ridge: str = "0") -> str:
+    """CTEs ``cv`` and ``w``: the two-column least-squares fit of quality, with a penalty added to the variances."""
+    return f"""cv AS (SELECT AVG(sum_qty) AS m1, AVG(avg_disc) AS m2, AVG(quality) AS my, VAR_POP(sum_qty) + {ridge} AS s11, VAR_POP(avg_disc) + {ridge} AS s22,
+    COVAR_POP(sum_qty, avg_disc) AS s12, COVAR_POP(sum_qty, quality) AS s1, COVAR_POP(avg_disc, quality) AS s2 FROM {view}),
+  w AS (SELECT *, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS w1, (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) AS w2 FROM cv)"""
+
+
+_OLS = ols_ctes("order_features")
+_TWO = ["sum_qty", "avg_disc"]
+_LINE = "my + w1 * (sum_qty - m1) + w2 * (avg_disc - m2)"
+
+
+@query("s07_saved_pipeline", with_views("order_features", f"""THEN p AS (SELECT *, {_TEST_ROWS} AS split FROM order_features), train AS (SELECT * FROM p WHERE split = 'train'),
+  {ols_ctes('train')} SELECT row_id, quality, {r(_LINE, 5)} AS prediction FROM p, w WHERE split = 'test'"""))
 def s07(spark, sf):
     train, test = _parts(_order(spark, sf))
-    train = train.withColumn("label", F.col(LABEL).cast("double"))
     path = scratch_path(spark, "pipeline")
-    models.save_pipeline(models.pipeline(list(COLS), "ridge", n_rows=train.count()).fit(train), path)
-    return models.load_pipeline(path).transform(test).select("row_id", LABEL, "prediction")
+    models.save_pipeline(models.pipeline(_TWO, "ols").fit(train.withColumn("label", F.col(LABEL).cast("double"))), path)
+    return rounded(models.load_pipeline(path).transform(test).select("row_id", LABEL, "prediction"), ["prediction"], 5)
 
 
 @query("s09_write_table", with_views("order_features", "SELECT row_id, quality, sum_qty FROM order_features"))
@@ -141,9 +157,23 @@ def f08_knn(spark, sf):
 # ---- resampling ----------------------------------------------------------
 
 
-@query("t07_smote")
+_D3 = " + ".join(f"POW(a.{c} - b.{c}, 2)" for c in FEW)
+_DIGEST = "md5(concat('smote-42:', row_id, ':', copy))"
+_SHARE = "('0x' || SUBSTR({d}, {i}, 12))::BIGINT / 281474976710656.0"
+
+
+@query("t07_smote", with_views("order_features", f"""THEN n AS (SELECT quality AS y, COUNT(*) AS n, (MAX(COUNT(*)) OVER ()) - COUNT(*) AS need, LEAST(5, (MIN(COUNT(*)) OVER ()) - 1) AS k FROM order_features GROUP BY 1),
+  small AS (SELECT o.*, need, n, k FROM order_features o JOIN n ON y = quality WHERE need > 0),
+  near AS (SELECT a.row_id AS base, b.row_id AS other, ROW_NUMBER() OVER (PARTITION BY a.row_id ORDER BY {_D3}, b.row_id) AS rk
+    FROM small a JOIN small b ON a.quality = b.quality AND a.row_id <> b.row_id QUALIFY rk <= 5),
+  turn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(concat('42:', row_id)), row_id) AS place FROM small),
+  drawn AS (SELECT *, UNNEST(RANGE(1, CAST(need // n + CASE WHEN place <= need % n THEN 1 ELSE 0 END + 1 AS BIGINT))) AS copy FROM turn),
+  spot AS (SELECT *, {_SHARE.format(d=_DIGEST, i=1)} AS gap, CAST(FLOOR({_SHARE.format(d=_DIGEST, i=13)} * k) + 1 AS BIGINT) AS pick FROM drawn)
+SELECT row_id, 0 AS copy, FALSE AS synthetic, CAST(NULL AS BIGINT) AS neighbor, {", ".join(f"{r(c)} AS {c}" for c in FEW)}, quality FROM order_features
+UNION ALL SELECT a.row_id, CAST(copy AS INT), TRUE, other, {", ".join(r(f"a.{c} + gap * (b.{c} - a.{c})") for c in FEW)}, a.quality
+FROM spot a JOIN near ON base = a.row_id AND rk = pick JOIN order_features b ON b.row_id = other"""))
 def t07(spark, sf):
-    return resample.smote(_order(spark, sf), "row_id", list(FEW), LABEL)
+    return rounded(resample.smote(_order(spark, sf), "row_id", list(FEW), LABEL).drop("gap"), list(FEW))
 
 
 _DIMS = [f"e{i}" for i in range(1, 65)]
@@ -173,20 +203,25 @@ def a10(spark, sf):
 
 # ---- estimators ----------------------------------------------------------
 
-_OLS = """cv AS (SELECT AVG(sum_qty) AS m1, AVG(avg_disc) AS m2, AVG(quality) AS my, VAR_POP(sum_qty) AS s11, VAR_POP(avg_disc) AS s22, COVAR_POP(sum_qty, avg_disc) AS s12,
-    COVAR_POP(sum_qty, quality) AS s1, COVAR_POP(avg_disc, quality) AS s2 FROM order_features),
-  w AS (SELECT *, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS w1, (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) AS w2 FROM cv)"""
-
-
 @query("a01_linear_regression", with_views("order_features", f"""THEN {_OLS} SELECT 'sum_qty' AS feature, {r('w1', 5)} AS weight FROM w
 UNION ALL SELECT 'avg_disc', {r('w2', 5)} FROM w UNION ALL SELECT 'intercept', {r('my - w1 * m1 - w2 * m2', 5)} FROM w"""))
 def a01(spark, sf):
-    cols = ["sum_qty", "avg_disc"]
-    model = models.estimator("ols").fit(models.assembled(_order(spark, sf), cols, LABEL))
-    rows = [*zip(cols, map(float, model.coefficients)), ("intercept", float(model.intercept))]
+    return _weights(spark, models.estimator("ols").fit(models.assembled(_order(spark, sf), _TWO, LABEL)))
+
+
+def _weights(spark, model):
+    rows = [*zip(_TWO, map(float, model.coefficients)), ("intercept", float(model.intercept))]
     return rounded(spark.createDataFrame(rows, "feature string, weight double"), ["weight"], 5)
 
 
+@query("a01_ridge_weights", with_views("order_features", f"""THEN {ols_ctes('order_features', '50.0 / COUNT(*)')} SELECT 'sum_qty' AS feature, {r('w1', 5)} AS weight FROM w
+UNION ALL SELECT 'avg_disc', {r('w2', 5)} FROM w UNION ALL SELECT 'intercept', {r('my - w1 * m1 - w2 * m2', 5)} FROM w"""))
+def a01_ridge_weights(spark, sf):
+    df = _order(spark, sf)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("std")).first()
+    return _weights(spark, models.estimator("ridge", {"alpha": 50.0}, size["n"], label_std=size["std"]).fit(models.assembled(df, _TWO, LABEL)))
+
+
 def _predict_query(name: str, recipe: Recipe):
     @query(name)
     def run(spark, sf):
@@ -245,6 +280,29 @@ def l10(spark, sf):
     return explain.permutation_importance(model.transform, test, ORDER_COLS, LABEL, repeats=3)
 
 
+def _shuffled_sql(repeat: int) -> str:
+    rank = f"ROW_NUMBER() OVER (ORDER BY md5(concat('permute-42-{repeat}:', row_id)), row_id)"
+    r2 = "1 - AVG(POW(x.quality - ({p}), 2)) / VAR_POP(x.quality)"
+    own, other = "(x.{c} - {m})", "(z.{c} - {m})"
+
+    def fall(swap):
+        parts = [f"{w} * " + (other if c == swap else own).format(c=c, m=m) for c, w, m in (("sum_qty", "w1", "m1"), ("avg_disc", "w2", "m2"))]
+        base = "my + w1 * (x.sum_qty - m1) + w2 * (x.avg_disc - m2)"
+        return f"({r2.format(p=base)}) - ({r2.format(p='my + ' + ' + '.join(parts))})"
+
+    return f"""SELECT {repeat} AS rep, {fall('sum_qty')} AS f1, {fall('avg_disc')} AS f2 FROM (SELECT *, {rank} AS rk FROM order_features) x
+      JOIN (SELECT *, {rank} AS rk, COUNT(*) OVER () AS n FROM order_features) z ON x.rk = z.rk % z.n + 1, w"""
+
+
+@query("l10_permutation_importance_ols", with_views("order_features", f"""THEN {_OLS}, falls AS ({_shuffled_sql(0)} UNION ALL {_shuffled_sql(1)})
+SELECT 'sum_qty' AS feature, {r('AVG(f1)', 5)} AS importance, {r('STDDEV_POP(f1)', 5)} AS std FROM falls
+UNION ALL SELECT 'avg_disc', {r('AVG(f2)', 5)}, {r('STDDEV_POP(f2)', 5)} FROM falls"""))
+def l10_ols(spark, sf):
+    df = _order(spark, sf)
+    model = tuning.fit(df, Recipe("ols", tuple(_TWO)), LABEL)
+    return rounded(explain.permutation_importance(model.transform, df, _TWO, LABEL, repeats=2), ["importance", "std"], 5)
+
+
 @query("l11_rfe")
 def l11(spark, sf):
     df = _order(spark, sf)
@@ -307,6 +365,20 @@ def t06(spark, sf):
     return spark.createDataFrame([(x["fold"], m, float(v)) for x in runs for m, v in x.items() if m != "fold"], "fold int, metric string, value double")
 
 
+_FOLD_FIT = """cv AS (SELECT g.fold, AVG(sum_qty) AS m1, AVG(avg_disc) AS m2, AVG(quality) AS my, VAR_POP(sum_qty) AS s11, VAR_POP(avg_disc) AS s22,
+    COVAR_POP(sum_qty, avg_disc) AS s12, COVAR_POP(sum_qty, quality) AS s1, COVAR_POP(avg_disc, quality) AS s2 FROM f JOIN (SELECT DISTINCT fold FROM f) g ON f.fold <> g.fold GROUP BY g.fold),
+  w AS (SELECT *, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS w1, (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) AS w2 FROM cv),
+  e AS (SELECT f.fold, quality, quality - (my + w1 * (sum_qty - m1) + w2 * (avg_disc - m2)) AS err FROM f JOIN w ON w.fold = f.fold)"""
+
+
+@query("t06_cross_validate_ols", with_views("order_features", f"""THEN f AS (SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(concat('42:', row_id)), row_id) - 1) % 5 AS INT) AS fold FROM order_features),
+  {_FOLD_FIT} SELECT fold, COUNT(*) AS n, {r('SQRT(AVG(err * err))', 5)} AS rmse, {r('AVG(ABS(err))', 5)} AS mae, {r('1 - AVG(err * err) / VAR_POP(quality)', 5)} AS r2 FROM e GROUP BY fold"""))
+def t06_ols(spark, sf):
+    runs = tuning.cross_validate(_order(spark, sf), Recipe("ols", tuple(_TWO)), LABEL, k=5)
+    table = spark.createDataFrame([(x["fold"], int(x["n"]), float(x["rmse"]), float(x["mae"]), float(x["r2"])) for x in runs], "fold int, n bigint, rmse double, mae double, r2 double")
+    return rounded(table, ["rmse", "mae", "r2"], 5)
+
+
 def _search_table(df, found: tuning.Search):
     table = tuning.summary_table(df, found.summaries, "candidate")
     params = df.sparkSession.createDataFrame([(n, str(sorted(p.items())), p == found.best_params) for n, p in found.tried.items()], "candidate string, params string, is_best boolean")

@@ -137,6 +137,20 @@ def test_classifier_predicts_original_labels(orders):
     assert seen <= set(float(c) for c in model.classes)
 
 
+def test_elastic_net_minimises_the_usual_objective(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(400, 3)) * [1.0, 2.0, 0.5]
+    y = 4 * x[:, 0] - x[:, 1] + rng.normal(size=400) * 2
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(400), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y}))
+    got = tuning.fit(df, Recipe("elastic_net", ("a", "b", "c"), {"alpha": 0.7, "l1_ratio": 0.3}), "y").model.coefficients.toArray()
+    xc, yc, w = x - x.mean(0), y - y.mean(), np.zeros(3)
+    for _ in range(500):
+        for j in range(3):
+            rest = xc[:, j] @ (yc - xc @ w + xc[:, j] * w[j]) / 400
+            w[j] = np.sign(rest) * max(abs(rest) - 0.7 * 0.3, 0) / (xc[:, j] @ xc[:, j] / 400 + 0.7 * 0.7)
+    assert got == pytest.approx(w, abs=1e-4)
+
+
 def test_search_is_seeded_and_elimination_is_a_permutation(orders):
     space = {"alpha": ("log", 0.1, 10.0), "scaler": ["standard", "minmax"], "n": ("int", 1, 3), "f": ("float", 0.0, 1.0)}
     assert tuning.draw(space, 5, 1) == tuning.draw(space, 5, 1) != tuning.draw(space, 5, 2)
