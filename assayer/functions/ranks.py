@@ -14,19 +14,22 @@ from .hashing import hash_bits, row_hash
 def _offsets(df: DataFrame, by: list[str], bucket: str, weight: Column) -> DataFrame:
     sizes = df.groupBy(*by, bucket).agg(F.sum(weight).alias("__size"))
     before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(*by, bucket, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    return sizes.select(
+        *by, bucket, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+        F.sum("__size").over(Window.partitionBy(*by)).alias("__total"))
 
 
-def _join_nullsafe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+def _join_offsets(left: DataFrame, offsets: DataFrame, by: list[str], bucket: str) -> DataFrame:
+    """Null-safe, as groups may be null; it also keeps the optimizer from copying long bucket expressions."""
+    renamed = offsets.withColumnsRenamed({k: f"__r_{k}" for k in [*by, bucket]})
     cond = F.lit(True)
-    for k in keys:
+    for k in [*by, bucket]:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    return left.join(renamed, cond).drop(*[f"__r_{k}" for k in keys])
+    return left.join(renamed, cond).drop(*[f"__r_{k}" for k in [*by, bucket]])
 
 
-def hash_rank(df: DataFrame, ids: list[str], seed=42, by: str | None = None, out: str = "rank") -> DataFrame:
-    """Add ``out`` = 1..n in seeded hash order (ties by id), per value of ``by``.
+def hash_rank(df: DataFrame, ids: list[str], seed=42, by: str | None = None, out: str = "rank", total: str | None = None) -> DataFrame:
+    """Add ``out`` = 1..n in seeded hash order (ties by id), per value of ``by``, and ``total`` = n.
 
     Equal to ``row_number() over (partition by <by> order by md5, id)``, but the
     rows are cut into 65,536 hash buckets: the window sorts one bucket at a time
@@ -38,8 +41,11 @@ def hash_rank(df: DataFrame, ids: list[str], seed=42, by: str | None = None, out
     inside = Window.partitionBy(*groups, "__b").orderBy("__h", *ids)
     numbered = keyed.withColumn("__rn", F.row_number().over(inside))
     offsets = _offsets(keyed, groups, "__b", F.lit(1))
-    ranked = _join_nullsafe(numbered, offsets, groups + ["__b"])
-    return ranked.withColumn(out, (F.col("__rn") + F.col("__before")).cast("bigint")).drop("__h", "__b", "__rn", "__before")
+    ranked = _join_offsets(numbered, offsets, groups, "__b")
+    added = {out: (F.col("__rn") + F.col("__before")).cast("bigint")}
+    if total:
+        added[total] = F.col("__total")
+    return ranked.withColumns(added).drop("__h", "__b", "__rn", "__before", "__total")
 
 
 def running_total(df: DataFrame, key: str, weight: str, bounds: list[float], by: str | None = None, out: str = "before") -> DataFrame:
@@ -55,5 +61,5 @@ def running_total(df: DataFrame, key: str, weight: str, bounds: list[float], by:
     inside = Window.partitionBy(*groups, "__b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     summed = sliced.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     offsets = _offsets(sliced, groups, "__b", F.col(weight))
-    joined = _join_nullsafe(summed, offsets, groups + ["__b"])
-    return joined.withColumn(out, F.col("__in") + F.col("__before")).drop("__b", "__in", "__before")
+    joined = _join_offsets(summed, offsets, groups, "__b")
+    return joined.withColumn(out, F.col("__in") + F.col("__before")).drop("__b", "__in", "__before", "__total")

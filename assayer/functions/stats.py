@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -29,8 +30,13 @@ def string_columns(df: DataFrame) -> list[str]:
 def column_table(df: DataFrame, cols: list[str], stats, by: str | None = None, key: str = "feature") -> DataFrame:
     """One row per column (and group): ``stats(col_name)`` gives ``{name: aggregate}``.
 
-    All columns share one aggregation pass.
+    All columns share one aggregation pass, up to the number of expressions that
+    generated code carries; a wider table takes a pass per slice of columns.
     """
+    width = max(1, CHUNK // max(1, len(stats(cols[0])))) if cols else 1
+    if len(cols) > width:
+        slices = [cols[i:i + width] for i in range(0, len(cols), width)]
+        return reduce(DataFrame.unionByName, [column_table(df, part, stats, by, key) for part in slices])
     rows = F.array(*[
         F.struct(F.lit(c).alias(key), *[expr.alias(name) for name, expr in stats(c).items()]) for c in cols
     ])

@@ -152,22 +152,21 @@ def decode_label(df: DataFrame, code: str, classes: list, out: str = "label") ->
     return df.withColumn(out, F.try_element_at(F.array(*[F.lit(c) for c in classes]), (F.col(code) + 1).cast("int")))
 
 
-def class_probabilities(prediction: str, classes: list, alpha: float = 2.0) -> list[Column]:
-    """One probability per class: softmax of ``-alpha * (prediction - class)²``.
+def regression_to_proba(df: DataFrame, prediction: str, classes: list, alpha: float = 2.0) -> DataFrame:
+    """Add ``p_<class>`` columns: softmax of ``-alpha * (prediction - class)²``.
 
     The largest exponent is taken off first, so a prediction far from every
-    class cannot underflow to 0 / 0.
+    class cannot underflow to 0 / 0. The steps are columns of their own: written
+    as one expression the shared terms would be repeated classes² times.
     """
-    power = [-F.lit(alpha) * F.pow(q(prediction) - F.lit(float(c)), F.lit(2)) for c in classes]
-    top = F.greatest(*power) if len(power) > 1 else power[0]
-    weight = [F.exp(p - top) for p in power]
-    total = sum(weight[1:], weight[0])
-    return [w / total for w in weight]
-
-
-def regression_to_proba(df: DataFrame, prediction: str, classes: list, alpha: float = 2.0) -> DataFrame:
-    """Add ``p_<class>`` columns."""
-    return df.withColumns({f"p_{c}": p for c, p in zip(classes, class_probabilities(prediction, classes, alpha))})
+    n = range(len(classes))
+    power = {f"__e{i}": -F.lit(alpha) * F.pow(q(prediction) - F.lit(float(c)), F.lit(2)) for i, c in enumerate(classes)}
+    top = F.greatest(*power) if len(classes) > 1 else F.col("__e0")
+    out = df.withColumns(power).withColumn("__top", top)
+    out = out.withColumns({f"__w{i}": F.exp(F.col(f"__e{i}") - F.col("__top")) for i in n})
+    out = out.withColumn("__total", sum([F.col(f"__w{i}") for i in n[1:]], F.col("__w0")))
+    out = out.withColumns({f"p_{c}": F.col(f"__w{i}") / F.col("__total") for i, c in enumerate(classes)})
+    return out.drop("__top", "__total", *[f"__e{i}" for i in n], *[f"__w{i}" for i in n])
 
 
 def feature_columns(df: DataFrame, target: str) -> list[str]:

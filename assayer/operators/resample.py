@@ -32,12 +32,11 @@ def random_oversample(df: DataFrame, row_id: str, label: str, seed=42, out: str
     Each row of a class appears ``top // n`` times and the first ``top % n`` rows
     in hash order once more.
     """
-    counts = df.groupBy(F.col(label).alias("__l")).agg(F.count(F.lit(1)).alias("__n"))
-    sizes = counts.withColumn("__top", F.max("__n").over(Window.partitionBy()))
-    ranked = hash_rank(df, [row_id], seed, by=label, out="__rank").join(sizes, F.col(label).eqNullSafe(F.col("__l")))
-    times = F.floor(F.col("__top") / F.col("__n")) + F.when(F.col("__rank") <= F.col("__top") % F.col("__n"), 1).otherwise(0)
+    top = max(_class_sizes(df, label).values(), default=0)
+    ranked = hash_rank(df, [row_id], seed, by=label, out="__rank", total="__n")
+    times = F.floor(F.lit(top) / F.col("__n")) + F.when(F.col("__rank") <= F.lit(top) % F.col("__n"), 1).otherwise(0)
     copies = F.explode(F.sequence(F.lit(0), (times - 1).cast("int")))
-    return ranked.withColumn(out, copies).drop("__l", "__n", "__top", "__rank")
+    return ranked.withColumn(out, copies).drop("__n", "__rank")
 
 
 def _class_sizes(df: DataFrame, label: str) -> dict:

@@ -13,10 +13,9 @@ from ..functions.ranks import hash_rank
 
 def split(df: DataFrame, row_id: str, share: float = 0.2, seed=42) -> DataFrame:
     """Add ``split``: exactly ``ceil(share * n)`` rows are ``test``."""
-    n = df.count()
-    cut = -int(-(share * n) // 1)
-    ranked = hash_rank(df, [row_id], seed, out="__rank")
-    return ranked.withColumn("split", F.when(F.col("__rank") <= cut, "test").otherwise("train")).drop("__rank")
+    ranked = hash_rank(df, [row_id], seed, out="__rank", total="__n")
+    cut = F.ceil(F.lit(float(share)) * F.col("__n"))
+    return ranked.withColumn("split", F.when(F.col("__rank") <= cut, "test").otherwise("train")).drop("__rank", "__n")
 
 
 def threshold_split(df: DataFrame, row_id: str, share: float = 0.2, seed=42) -> DataFrame:
@@ -26,10 +25,9 @@ def threshold_split(df: DataFrame, row_id: str, share: float = 0.2, seed=42) ->
 
 def stratified_split(df: DataFrame, row_id: str, label: str, share: float = 0.2, seed=42) -> DataFrame:
     """Add ``split``: per label, the first ``floor(share * n + 0.5)`` rows in hash order are ``test``."""
-    sizes = df.groupBy(F.col(label).alias("__l")).agg(F.floor(share * F.count(F.lit(1)) + 0.5).alias("__cut"))
-    ranked = hash_rank(df, [row_id], seed, by=label, out="__rank")
-    joined = ranked.join(sizes, F.col(label).eqNullSafe(F.col("__l")))
-    return joined.withColumn("split", F.when(F.col("__rank") <= F.col("__cut"), "test").otherwise("train")).drop("__rank", "__l", "__cut")
+    ranked = hash_rank(df, [row_id], seed, by=label, out="__rank", total="__n")
+    cut = F.floor(F.lit(float(share)) * F.col("__n") + 0.5)
+    return ranked.withColumn("split", F.when(F.col("__rank") <= cut, "test").otherwise("train")).drop("__rank", "__n")
 
 
 def folds(df: DataFrame, row_id: str, k: int = 5, seed=42, label: str | None = None, out: str = "fold") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import q
 from ..session import cached
 from . import impute, models, neighbors, resample, scale, splits
-from .derive import poly2, to_class
+from .derive import encode_label, label_fit, poly2, to_class
 
 CELL_LIMIT = 1_000_000  # (label, predicted class) cells that may come to the driver
 
@@ -101,9 +101,8 @@ def fit(train: DataFrame, recipe: Recipe, label: str, row_id: str = "row_id") ->
         fitted.model = (ready, label, row_id)
         return fitted
     if not recipe.regression:
-        fitted.classes = sorted(r[0] for r in ready.select(label).distinct().limit(10_001).collect())
-        place = F.array_position(F.array(*[F.lit(c) for c in fitted.classes]), F.col(label)) - 1
-        ready = ready.withColumn("label", place.cast("double"))
+        fitted.classes = label_fit(ready, label)
+        ready = encode_label(ready, label, fitted.classes, "label").withColumn("label", F.col("label").cast("double"))
     else:
         ready = ready.withColumn("label", F.col(label).cast("double"))
     if recipe.model in ("rbf_svc", "svr") and "gamma" not in recipe.params:
