@@ -36,16 +36,21 @@ def hash_rank(df: DataFrame, ids: list[str], seed=42, by: str | None = None, out
     and the bucket's offset comes from the (small) table of bucket sizes, so a
     label that holds most of the rows is still spread over all tasks.
     """
-    groups = [by] if by else []
-    keyed = df.withColumn("__h", row_hash(seed, *ids)).withColumn("__b", hash_bits(F.col("__h"), 4).cast("int"))
-    inside = Window.partitionBy(*groups, "__b").orderBy("__h", *ids)
+    # A struct around the label is never null and equal for equal labels, null
+    # included. Window, bucket sizes and join then share these two keys, and the
+    # join can reuse the window's partitioning.
+    digest = row_hash(seed, *ids)
+    keyed = df.withColumns({
+        "__g": F.struct(F.col(by) if by else F.lit(0)), "__h": digest, "__b": F.coalesce(hash_bits(digest, 4).cast("int"), F.lit(0)),
+    })
+    inside = Window.partitionBy("__g", "__b").orderBy("__h", *ids)
     numbered = keyed.withColumn("__rn", F.row_number().over(inside))
-    offsets = _offsets(keyed, groups, "__b", F.lit(1))
-    ranked = _join_offsets(numbered, offsets, groups, "__b")
+    offsets = _offsets(keyed, ["__g"], "__b", F.lit(1)).withColumnsRenamed({"__g": "__rg", "__b": "__rb"})
+    ranked = numbered.join(offsets, (F.col("__g") == F.col("__rg")) & (F.col("__b") == F.col("__rb")))
     added = {out: (F.col("__rn") + F.col("__before")).cast("bigint")}
     if total:
         added[total] = F.col("__total")
-    return ranked.withColumns(added).drop("__h", "__b", "__rn", "__before", "__total")
+    return ranked.withColumns(added).drop("__g", "__h", "__b", "__rn", "__rg", "__rb", "__before", "__total")
 
 
 def running_total(df: DataFrame, key: str, weight: str, bounds: list[float], by: str | None = None, out: str = "before") -> DataFrame:

@@ -36,8 +36,15 @@ def votes(bounds: Bounds) -> Column:
 
 
 def iqr_filter(df: DataFrame, bounds: Bounds, min_votes: int = 1) -> DataFrame:
-    """Keep rows flagged in fewer than ``min_votes`` columns."""
-    return df.filter(votes(bounds) < min_votes)
+    """Keep rows flagged in fewer than ``min_votes`` columns.
+
+    With one vote the test is a conjunction of ranges, which reaches the scan.
+    """
+    if min_votes > 1:
+        return df.filter(votes(bounds) < min_votes)
+    for c, (lo, hi) in bounds.items():
+        df = df.filter(q(c).isNull() | ((q(c) >= F.lit(lo)) & (q(c) <= F.lit(hi))))
+    return df
 
 
 def iqr_flagged(df: DataFrame, bounds: Bounds, min_votes: int = 1) -> DataFrame:

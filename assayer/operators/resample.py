@@ -34,7 +34,7 @@ def random_oversample(df: DataFrame, row_id: str, label: str, seed=42, out: str
     """
     top = max(_class_sizes(df, label).values(), default=0)
     ranked = hash_rank(df, [row_id], seed, by=label, out="__rank", total="__n")
-    times = F.floor(F.lit(top) / F.col("__n")) + F.when(F.col("__rank") <= F.lit(top) % F.col("__n"), 1).otherwise(0)
+    times = F.expr(f"{top} div __n + if(__rank <= {top} % __n, 1, 0)")
     copies = F.explode(F.sequence(F.lit(0), (times - 1).cast("int")))
     return ranked.withColumn(out, copies).drop("__n", "__rank")
 
