@@ -20,10 +20,9 @@ def _with_partner(df: DataFrame, row_id: str, cols: list[str], seed) -> DataFram
     Rows are matched by their distributed rank, so this is one equi-join on
     unique keys, without a sort of the table in one place.
     """
-    ranked = cut_lineage(hash_rank(df, [row_id], seed, out="__rank"))
-    n = ranked.count()
-    other = ranked.select(((F.col("__rank") % n) + 1).alias("__rank"), *[q(c).alias(f"__z{i}") for i, c in enumerate(cols)])
-    return ranked.join(other, "__rank").drop("__rank")
+    ranked = cut_lineage(hash_rank(df, [row_id], seed, out="__rank", total="__n"))
+    other = ranked.select(((F.col("__rank") % F.col("__n")) + 1).alias("__rank"), *[q(c).alias(f"__z{i}") for i, c in enumerate(cols)])
+    return ranked.join(other, "__rank").drop("__rank", "__n")
 
 
 def permutation_importance(predict: Callable[[DataFrame], DataFrame], df: DataFrame, cols: list[str], label: str, row_id: str = "row_id", repeats: int = 10, seed=42) -> DataFrame:

@@ -165,7 +165,8 @@ def principal_axes(df: DataFrame, cols: list[str], k: int) -> dict:
     values, vectors = np.linalg.eigh(g)
     order = np.argsort(values)[::-1][:k]
     axes = vectors[:, order]
-    axes = axes * np.where(axes[np.abs(axes).argmax(axis=0), range(len(order))] < 0, -1.0, 1.0)
+    lead = np.abs(axes).round(9).argmax(axis=0)  # the first of equally large loadings
+    axes = axes * np.where(axes[lead, range(len(order))] < 0, -1.0, 1.0)
     total = values.sum()
     return {"cols": cols, "mean": mean, "std": std, "axes": axes, "explained": values[order] / total if total else values[order]}
 

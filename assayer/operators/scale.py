@@ -33,11 +33,12 @@ def scale_fit(df: DataFrame, cols: list[str], how: str = "standard", exact: bool
         cut = column_quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact)[None]
         return {"how": how, "columns": {c: _spread(m, b - a) for c, (a, m, b) in cut.items() if m is not None}}
     if how in ("quantile_uniform", "quantile_normal"):
-        n = min(n_quantiles, df.count())
+        rows = df.count()
+        n = min(n_quantiles, rows)
         probs = [i / (n - 1) for i in range(n)] if n > 1 else [0.5]
         # A thousand exact order statistics would mean a thousand brackets; the sketch
         # answers them all at once with a rank error of n / 10,000.
-        few = df.count() * len(cols) <= 5_000_000
+        few = rows * len(cols) <= 5_000_000
         cut = column_quantiles(df, cols, probs, exact=few, cell_limit=5_000_000)[None]
         return {"how": how, "columns": {c: v for c, v in cut.items() if v[0] is not None}}
     if how == "yeo_johnson":

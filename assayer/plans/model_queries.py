@@ -16,6 +16,7 @@ from ..session import cut_lineage, scratch_path
 from ..sources import ledger, tables, views
 from ..sources.views import ORDER_COLS, with_views
 from . import workflows
+from .profile_queries import iqr_ctes
 from .registry import query, rnd, rounded, sql_rnd as r
 
 LABEL = "quality"
@@ -77,7 +78,7 @@ _TWO = ["sum_qty", "avg_disc"]
 _LINE = "my + w1 * (sum_qty - m1) + w2 * (avg_disc - m2)"
 
 
-@query("s07_saved_pipeline", with_views("order_features", f"""THEN p AS (SELECT *, {_TEST_ROWS} AS split FROM order_features), train AS (SELECT * FROM p WHERE split = 'train'),
+@query("s07_saved_model", with_views("order_features", f"""THEN p AS (SELECT *, {_TEST_ROWS} AS split FROM order_features), train AS (SELECT * FROM p WHERE split = 'train'),
   {ols_ctes('train')} SELECT row_id, quality, {r(_LINE, 5)} AS prediction FROM p, w WHERE split = 'test'"""))
 def s07(spark, sf):
     train, test = _parts(_order(spark, sf))
@@ -110,6 +111,21 @@ def o09(spark, sf):
     return outliers.iqr_filter(flat, outliers.iqr_fit(flat, ["pca_1", "pca_2"])).select("row_id", LABEL, "pca_1", "pca_2")
 
 
+_PAIR = ["sum_qty", "sum_price"]
+# Two standardised columns with a positive correlation have the axes (1, 1) and (1, -1).
+_PAIR_AXES = """z AS (SELECT row_id, quality, (sum_qty - AVG(sum_qty) OVER ()) / STDDEV_POP(sum_qty) OVER () AS a, (sum_price - AVG(sum_price) OVER ()) / STDDEV_POP(sum_price) OVER () AS b FROM order_features),
+  pc AS (SELECT row_id, quality, (a + b) / SQRT(2) AS pca_1, (a - b) / SQRT(2) AS pca_2 FROM z)"""
+
+
+@query("o09_pca_iqr_pair", with_views("order_features", f"THEN {_PAIR_AXES}, " + iqr_ctes("pc", ["pca_1", "pca_2"])[5:] + f"""
+SELECT row_id, quality, {r('pca_1', 5)} AS pca_1, {r('pca_2', 5)} AS pca_2 FROM kept"""))
+def o09_pair(spark, sf):
+    df = _order(spark, sf)
+    flat = models.project(df, models.principal_axes(df, _PAIR, 2))
+    kept = outliers.iqr_filter(flat, outliers.iqr_fit(flat, ["pca_1", "pca_2"]))
+    return rounded(kept.select("row_id", LABEL, "pca_1", "pca_2"), ["pca_1", "pca_2"], 5)
+
+
 @query("o10_outlier_overlap")
 def o10(spark, sf):
     df = _order(spark, sf)
@@ -137,6 +153,12 @@ def c15(spark, sf):
     return models.project(filled, models.principal_axes(filled, ORDER_COLS, 5)).select("row_id", *[f"pca_{i}" for i in range(1, 6)])
 
 
+@query("c15_pca_pair", with_views("order_features", f"THEN {_PAIR_AXES} SELECT row_id, {r('pca_1', 5)} AS pca_1, {r('pca_2', 5)} AS pca_2 FROM pc"))
+def c15_pair(spark, sf):
+    df = _order(spark, sf)
+    return rounded(models.project(df, models.principal_axes(df, _PAIR, 2)).select("row_id", "pca_1", "pca_2"), ["pca_1", "pca_2"], 5)
+
+
 @query("f08_scaler_bakeoff")
 def f08(spark, sf):
     df = _order(spark, sf)
