@@ -19,7 +19,9 @@ from ..functions.hashing import hash_uniform, row_hash
 from ..functions.stats import q
 from ..session import cut_lineage
 
+LEAF_ROWS = 1024       # points aimed at per box
 BLOCK = 4096           # rows of either side in one task's block
+BUNDLE = 128           # boxes that are first tested as one larger box
 MAX_LEAVES = 16_384    # boxes over all groups; their bounds are sent to every task
 SAMPLE_PER_LEAF = 32
 GROUP_LIMIT = 10_000
@@ -27,7 +29,7 @@ GROUP_LIMIT = 10_000
 
 def knn_join(
     queries: DataFrame, points: DataFrame, cols: list[str], k: int, row_id: str = "row_id",
-    by: str | None = None, exclude_self: bool = False, leaf_rows: int = BLOCK,
+    by: str | None = None, exclude_self: bool = False, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """``<row_id>, neighbor, distance, rank`` of the ``k`` nearest points of every query row.
 
@@ -159,26 +161,37 @@ def _visit_udf(trees: dict, boxes: dict):
         by_group[g] = (np.array(mine, dtype=int), np.array([boxes[i][1:] for i in mine], dtype=float))
 
     @F.pandas_udf("array<int>")
-    def visit(g: pd.Series, v: pd.Series, leaf: pd.Series, radius: pd.Series) -> pd.Series:
-        x, own, far = _matrix(v), leaf.to_numpy(), radius.to_numpy()
-        out = np.empty(len(g), dtype=object)
+    def visit(g: pd.Series, v: pd.Series, leaf: pd.Series, d2: pd.Series) -> pd.Series:
+        x, own = _matrix(v), leaf.to_numpy()
+        # A hair of slack: rounding must never hide a box that touches the ball.
+        reach = d2.to_numpy() * (1 + 1e-9)
+        out = [[] for _ in range(len(g))]
         for name, rows in g.groupby(g, dropna=False).indices.items():
             ids, corner = by_group[name]
-            for start in range(0, len(rows), 256):
-                part = rows[start:start + 256]
-                gap = np.zeros((len(part), len(ids)))
-                for d in range(x.shape[1]):
-                    c = x[part, d][:, None]
-                    gap += np.maximum(np.maximum(corner[None, :, 0, d] - c, c - corner[None, :, 1, d]), 0.0) ** 2
-                # A hair of slack: rounding must never hide a box that touches the ball.
-                near = (gap <= far[part][:, None] * (1 + 1e-9)) & (ids[None, :] != own[part][:, None])
-                for i, row in enumerate(part):
-                    out[row] = ids[near[i]].tolist()
+            # Leaves are numbered along the tree, so runs of them lie close together.
+            for start in range(0, len(ids), BUNDLE):
+                part_ids, part = ids[start:start + BUNDLE], corner[start:start + BUNDLE]
+                hull = np.stack([part[:, 0].min(axis=0), part[:, 1].max(axis=0)])[None]
+                hit = rows[_gap(x[rows], hull)[:, 0] <= reach[rows]]
+                for i in range(0, len(hit), 1024):
+                    some = hit[i:i + 1024]
+                    near = (_gap(x[some], part) <= reach[some][:, None]) & (part_ids[None, :] != own[some][:, None])
+                    for row, box in zip(*np.nonzero(near)):
+                        out[some[row]].append(int(part_ids[box]))
         return pd.Series(out)
 
     return visit
 
 
+def _gap(x: np.ndarray, corner: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to every box (0 inside)."""
+    gap = np.zeros((len(x), len(corner)))
+    for d in range(x.shape[1]):
+        c = x[:, d][:, None]
+        gap += np.maximum(np.maximum(corner[None, :, 0, d] - c, c - corner[None, :, 1, d]), 0.0) ** 2
+    return gap
+
+
 def _block_join(qs: DataFrame, p: DataFrame, boxes: dict, k: int, exclude_self: bool) -> DataFrame:
     """The k nearest points among those of the same leaf, worked off block by block."""
     spark = p.sparkSession

@@ -34,9 +34,10 @@ def crowd(spark):
     return pdf, spark.createDataFrame(pdf).cache()
 
 
-@pytest.mark.parametrize("leaf_rows,block", [(10_000, 4096), (60, 4096), (60, 25)])
-def test_knn_join_is_exact_whatever_the_boxes(crowd, monkeypatch, leaf_rows, block):
+@pytest.mark.parametrize("leaf_rows,block,bundle", [(10_000, 4096, 128), (60, 4096, 4), (60, 25, 128)])
+def test_knn_join_is_exact_whatever_the_boxes(crowd, monkeypatch, leaf_rows, block, bundle):
     monkeypatch.setattr(neighbors, "BLOCK", block)
+    monkeypatch.setattr(neighbors, "BUNDLE", bundle)
     pdf, df = crowd
     got = neighbors.knn_join(df, df, ["a", "b", "c"], 4, exclude_self=True, leaf_rows=leaf_rows).toPandas()
     near = got.sort_values(["row_id", "rank"]).groupby("row_id")["neighbor"].apply(list).to_dict()
