@@ -1,4 +1,4 @@
-"""Estimators by name, as ``pyspark.ml`` stages with the reference's parameter names."""
+"""Estimators by name, as ``pyspark.ml`` stages with the usual parameter names."""
 
 from __future__ import annotations
 
