@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, packing, secret_scan, toxicity
+from . import line_dedup, minhash, packing, secret_scan, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,36 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.col("__near").alias("n_near"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op7_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, UNNEST(range(len(l))) AS number, UNNEST(l) AS line
+    FROM (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS l FROM documents)
+), distinct_lines AS (
+    SELECT line, length(line) AS n, MIN({'d': doc_id, 'k': number}) AS first FROM lines WHERE length(line) >= 20 GROUP BY line
+), halves AS (
+    SELECT line, n, first, n + g AS l, s,
+           CASE s WHEN 0 THEN left(line, (n + g - 1) // 2) ELSE right(line, (n + g - 1) // 2) END AS half
+    FROM distinct_lines, (VALUES (0), (1)) AS g(g), (VALUES (0), (1)) AS s(s)
+), near AS (
+    SELECT DISTINCT a.line FROM halves a JOIN halves b ON a.l = b.l AND a.s = b.s AND a.half = b.half
+    WHERE b.first < a.first AND levenshtein(a.line, b.line) <= 1
+), fate AS (
+    SELECT l.doc_id, l.number, l.line, near.line IS NOT NULL AS near,
+           near.line IS NOT NULL OR ({'d': l.doc_id, 'k': l.number} > d.first) AS gone
+    FROM lines l LEFT JOIN distinct_lines d ON l.line = d.line LEFT JOIN near ON l.line = near.line
+)
+SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(COUNT(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
+       CAST(COUNT(*) FILTER (WHERE gone AND near) AS BIGINT) AS n_near,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE gone IS NOT TRUE), '')) AS kept_sha256
+FROM fate GROUP BY doc_id
+"""

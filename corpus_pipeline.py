@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import packing, secret_scan, toxicity
+from assayer.llm import line_dedup, minhash, packing, secret_scan, toxicity
 from assayer.llm.common import stored, table
 
 
@@ -19,6 +19,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject(docs, model)
 
 
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stand earlier in the corpus, but for one character at most, go; all documents stay."""
+    return with_length(line_dedup.dedup_lines(docs).select(docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return minhash.keep_one(docs)
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; all documents stay."""
     return with_length(secret_scan.redact(docs))
@@ -34,6 +44,8 @@ def with_length(docs: DataFrame) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("near_dedup", drop_near_duplicates),
     ("secrets", hide_secrets),
     ("packing", pack),
 ]
