@@ -5,6 +5,7 @@ Every function that runs inside a task works on Arrow batches and holds a few me
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished work: it does so once the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """``doc_id`` as long and ``text`` with null as empty, whatever other columns there are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -5,13 +5,16 @@ Documents with equal sets form a class, of which only the smallest doc_id goes o
 propose pairs, the share of common values among the smallest of the united sketches filters them, and the full sets
 confirm 100 * intersection >= 75 * union.
 
-Inverted lists. A class enters the lists of its ``KEYS`` smallest values. A list of at most ``SMALL`` classes gives all its
-pairs. A longer one first gives only pairs with its smallest member; what they link becomes one component. Pairs inside a
-component need no further look, so only the ``u`` classes outside the list's largest component matter: few of them are paired
-with the whole list, many are refined, that is, the list is split by a further retained value. So no list gives a number of
-pairs that grows with its square, and no list is cut off: after ``DEPTH`` values, what is left is paired with its list
-whatever its size. The smallest ``KEYS`` values of a union are shared with chance 3/4 or more each; a linked pair is missed
-with a chance of about 1/4 to the power ``KEYS`` per level.
+Inverted lists. Two linked sketches have at least ``LEAST_SHARED`` of their ``LISTED`` smallest values in common (27 are
+expected at a similarity of 3/4, with a deviation of 2.2). So it is enough that a class enters the lists of its rarest
+retained values, all but ``LEAST_SHARED`` - 1 of them: two linked classes meet in one of these lists. Values of very common
+lines are a document's least rare ones and open no list, and a class whose rarest values are its own alone needs no look.
+
+A list of at most ``SMALL`` classes gives all its pairs. A longer one first gives only pairs with its smallest member; what
+they link becomes one component. Pairs inside a component need no further look, so only the classes outside the list's
+largest component matter: few of them are paired with the whole list; many are refined, that is, the list is split by a
+further value, of which linked classes share one, too. No list is cut off: after ``DEPTH`` values, what is left is paired with
+its list whatever its size.
 
 Null and empty texts have no shingles and link with nothing; fewer than five words are one shingle. Repeated rows share
 their doc_id's component. Empty tables give empty results.
@@ -26,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, column, mix, stored, text_chunks, texts_of
+from .common import WordHasher, column, mix, release, stored, text_chunks, texts_of
 from .components import components
 
-WORDS, SKETCH, KEYS, SMALL, DEPTH, SLACK = 5, 64, 8, 32, 6, 0.22
+WORDS, SKETCH, LISTED, LEAST_SHARED, SMALL, DEPTH, SLACK = 5, 64, 32, 17, 32, 3, 0.22
 STEP = np.uint64(0xD6E8FEB86659FD93)
 SETS = "doc_id long, n_shingles long, set_a long, set_b long, values array<long>"
 
@@ -84,46 +87,62 @@ def classes_of(sketches: DataFrame) -> DataFrame:
     return grouped.select(F.col("least.doc_id").alias("id"), F.col("n_shingles").alias("n"), F.col("least.values").alias("sketch"))
 
 
-def estimated(pairs: DataFrame, classes: DataFrame, percent: int, sketch: int) -> DataFrame:
-    """The pairs whose united sketch makes ``percent`` possible."""
-    left = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    united = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, sketch)
-    shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), "united"))
-    return both.withColumn("united", united).filter(shared >= (percent / 100 - SLACK) * F.size("united")).select("a", "b")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """The pairs whose full sets hold 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    some = texts_of(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(shingled(some, None, words).select("doc_id", "values"), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("values").alias("va"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("values").alias("vb"))
-    common = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("va", "vb")))
-    return common.filter(100 * F.col("common") >= percent * (F.size("va") + F.size("vb") - F.col("common"))).select("a", "b")
-
-
-def linked_classes(docs: DataFrame, classes: DataFrame, percent: int = 75, words: int = WORDS, sketch: int = SKETCH,
-                   keys: int = KEYS, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
+def rare_first(classes: DataFrame, percent: int) -> DataFrame:
+    """(id, values, quota): the listed values that other classes retain, too, rarest first; ``quota`` of them open lists."""
+    values = classes.select("id", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    common = values.groupBy("value").agg(F.count("*").alias("m")).filter("m > 1")
+    shared = values.join(common, "value").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("m", "value"))).alias("shared"))
+    length = F.least("n", F.lit(LISTED))
+    # A set of at most 3/4 * LISTED values, and any partner of it, is listed whole: then the bound is exact.
+    short = F.col("n") <= LISTED * percent // 100
+    prefix = F.when(short, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(F.lit(LISTED - LEAST_SHARED + 1))
+    own = length - F.size("shared")
+    return shared.join(classes.select("id", "n"), "id").select(
+        "id", F.col("shared.value").alias("values"), (prefix - own).cast("int").alias("quota")).filter("quota > 0")
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, words: int, sketch: int) -> DataFrame:
+    """(id, n, sketch, values) of the classes named in ``ids``."""
+    some = texts_of(docs).join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return shingled(some, None, words).select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.slice("values", 1, sketch).alias("sketch"), "values")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, sketch: int) -> DataFrame:
+    """The pairs that the united sketches let pass and the full sets confirm."""
+    brief, whole = sets.select("id", "n", "sketch"), sets.select("id", "values")
+    side = lambda frame, end: frame.select([F.col(c).alias(f"{c}_{end}" if c != "id" else end) for c in frame.columns])
+    both = pairs.join(side(brief, "a"), "a").join(side(brief, "b"), "b").filter(
+        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    both = both.withColumn("united", F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, sketch))
+    shared = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), "united"))
+    likely = stored(both.filter(shared >= (percent / 100 - SLACK) * F.size("united")).select("a", "b"), "likely-pairs")
+    full = likely.join(side(whole, "a"), "a").join(side(whole, "b"), "b").withColumn("common", F.size(F.array_intersect("values_a", "values_b")))
+    return full.filter(100 * F.col("common") >= percent * (F.size("values_a") + F.size("values_b") - F.col("common"))).select("a", "b")
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, percent: int = 75, words: int = WORDS, sketch: int = SKETCH, small: int = SMALL,
+                   depth: int = DEPTH) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     nodes = spark.createDataFrame([], "node long, component long")
-    position = F.posexplode(F.slice("sketch", 1, keys)).alias("pos", "key")
-    rows = classes.select("id", position).select("key", "id", "pos")
+    ordered = stored(rare_first(classes, percent), "rare-first")
+    rows = ordered.select("id", F.posexplode(F.slice("values", F.lit(1), F.col("quota"))).alias("pos", "key")).select("key", "id", "pos")
+    sets = None
     for level in range(1, depth + 1):
         rows = stored(rows, "list-rows")
         sizes = stored(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("first")).filter("m > 1"), "list-sizes")
+        if sets is None:
+            sets = stored(full_sets(docs, rows.join(sizes, "key").select("id").distinct(), words, sketch), "full-sets")
+            release(spark)
         short = rows.join(sizes.filter(F.col("m") <= small).select("key"), "key")
         members = short.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))  # ``small`` ids at most
         pairs = members.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).filter("a < b")
         long_lists = sizes.filter(F.col("m") > small).select("key", "first")
         stars = rows.join(long_lists, "key").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-        found, nodes = _look_at(pairs.unionByName(stars), links, nodes, docs, classes, percent, words, sketch)
-        links = found
-        if not sizes.filter(F.col("m") > small).limit(1).count():
+        links, nodes = _look_at(pairs.unionByName(stars), links, nodes, sets, percent, sketch)
+        if long_lists.isEmpty():
             return links
         hot = rows.join(long_lists.select("key"), "key").join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
             "key", "id", "pos", F.coalesce("component", "id").alias("component"))
@@ -131,33 +150,31 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int = 75, words
         parts = hot.groupBy("key", "component").agg(F.count("*").alias("size"))
         lists = parts.groupBy("key").agg(F.sum("size").alias("m"), F.max(F.struct("size", "component")).alias("main"))
         lists = stored(lists.select("key", "main.component", (F.col("m") - F.col("main.size")).alias("outside")).filter("outside > 0"), "list-parts")
-        few = F.col("outside") <= small
-        last = level == depth
+        few, last = F.col("outside") <= small, level == depth
         outside = hot.join((lists if last else lists.filter(few)).withColumnRenamed("component", "main"), "key").filter("component <> main")
         whole = hot.select("key", F.col("id").alias("other"), F.col("component").alias("theirs"))
         rest = outside.join(whole, "key").filter("component <> theirs").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        links, nodes = _look_at(rest, links, nodes, docs, classes, percent, words, sketch)
+        links, nodes = _look_at(rest, links, nodes, sets, percent, sketch)
         many = lists.filter(~few).select("key")
-        if last or not many.limit(1).count():
+        if last or many.isEmpty():
             return links
-        further = F.posexplode(F.slice("sketch", F.col("pos") + 2, F.lit(keys))).alias("ahead", "value")
-        rows = hot.join(many, "key").join(classes.select("id", "sketch"), "id").select("key", "id", "pos", further).select(
+        # Linked classes that share one of the first q values share two of the first q + 1.
+        ahead = F.posexplode(F.slice("values", F.col("pos") + 2, F.greatest(F.lit(0), F.col("quota") + level - F.col("pos") - 1))).alias("ahead", "value")
+        rows = hot.join(many, "key").join(ordered, "id").select("key", "id", "pos", ahead).select(
             F.xxhash64("key", "value").alias("key"), "id", (F.col("pos") + 1 + F.col("ahead")).alias("pos"))
     return links
 
 
-def _look_at(pairs: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int,
-             sketch: int) -> tuple[DataFrame, DataFrame]:
+def _look_at(pairs: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, sketch: int) -> tuple[DataFrame, DataFrame]:
     """Links and components after the pairs that join different components have been verified."""
     apart = pairs.distinct()
     for end in ("a", "b"):
         apart = apart.join(nodes.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
-    apart = apart.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    likely = stored(estimated(apart, classes, percent, sketch), "likely-pairs")
-    if likely.isEmpty():
+    apart = stored(apart.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "pairs")
+    if apart.isEmpty():
         return links, nodes
-    new = confirmed(likely, docs, percent, words)
-    links = stored(links.unionByName(new), "links")
+    links = stored(links.unionByName(verified(apart, sets, percent, sketch)), "links")
+    release(pairs.sparkSession)
     return links, components(links)
 
 
@@ -166,6 +183,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = WORDS) -> D
     sketches = stored(shingled(docs, SKETCH, words), "sketches")
     classes = stored(classes_of(sketches), "classes")
     links = linked_classes(docs, classes, percent, words)
+    release(docs.sparkSession)
     named = classes_named(sketches)
     nodes = components(links).withColumnRenamed("node", "id")
     return named.join(nodes, "id", "left").select(
