@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, column, mix, powers, stored, texts_of
+from .common import BASE, column, mix, powers, release, stored, texts_of
 
 MIN_CHARS, WINDOWS = 20, (2, 16)
 #: Characters worked on at a time inside a task.
@@ -186,8 +186,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     coarse = shared(distinct)
     places = distinct.join(coarse, "line").select("line", "first.doc_id", "first.number")
     texts = stored(candidate_texts(docs, places), "line-texts")
+    release(docs.sparkSession)
     fine = stored(texts.join(shared(texts), "line", "left_semi").drop("keys"), "close-lines")
-    near = earlier_neighbours(fine).withColumn("near", F.lit(1))
+    near = stored(earlier_neighbours(fine).withColumn("near", F.lit(1)), "near-lines")
+    release(docs.sparkSession)
     marked = distinct.select("line", "first", "m").join(near, "line", "left").filter("m > 1 or near = 1")
     gone = every.select("line", "doc_id", "number").join(marked, "line").filter(F.col("near").isNotNull() | (place > F.col("first")))
     return gone.groupBy("doc_id").agg(F.collect_set("number").alias("dropped"), F.count_distinct(F.when(F.col("near") == 1, F.col("number"))).alias("near"))
