@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, packing, secret_scan, toxicity
+from . import line_dedup, minhash, packing, pivots, secret_scan, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,41 @@ SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(COUNT(*) FILTER (WHERE
        sha256(COALESCE(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE gone IS NOT TRUE), '')) AS kept_sha256
 FROM fate GROUP BY doc_id
 """
+
+
+@query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op1_topk_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op9_pivot_index"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+    SELECT vec_id AS node, vec_id AS other FROM v
+    UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT v.vec_id, (SELECT CAST(COUNT(*) AS BIGINT) FROM links WHERE a = v.vec_id) AS n_links, MIN(other) AS component_id, MIN(other) = v.vec_id AS kept
+FROM v JOIN reach ON node = v.vec_id GROUP BY v.vec_id
+"""
