@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, packing, pivots, secret_scan, topk, toxicity
-from .common import table
+from . import katz, line_dedup, minhash, packing, pivots, secret_scan, topk, toxicity
+from .common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,8 @@ WITH RECURSIVE v AS (
 SELECT v.vec_id, (SELECT CAST(COUNT(*) AS BIGINT) FROM links WHERE a = v.vec_id) AS n_links, MIN(other) AS component_id, MIN(other) = v.vec_id AS kept
 FROM v JOIN reach ON node = v.vec_id GROUP BY v.vec_id
 """
+
+
+@query
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
