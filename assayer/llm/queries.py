@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz, line_dedup, minhash, packing, pivots, secret_scan, topk, toxicity
+from . import katz, line_dedup, minhash, packing, pieces, pivots, secret_scan, topk, toxicity
 from .common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ FROM v JOIN reach ON node = v.vec_id GROUP BY v.vec_id
 @query
 def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"))
