@@ -6,6 +6,7 @@ Every function that runs inside a task works on Arrow batches and holds a few me
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished work: it does so once the driver has collected its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first pass lets go of plans, the second of the shuffles they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
