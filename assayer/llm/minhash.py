@@ -12,9 +12,8 @@ lines are a document's least rare ones and open no list, and a class whose rares
 
 A list of at most ``SMALL`` classes gives all its pairs. A longer one first gives only pairs with its smallest member; what
 they link becomes one component. Pairs inside a component need no further look, so only the classes outside the list's
-largest component matter: few of them are paired with the whole list; many are refined, that is, the list is split by a
-further value, of which linked classes share one, too. No list is cut off: after ``DEPTH`` values, what is left is paired with
-its list whatever its size.
+largest component are left. These are compared with the whole list on full sets, in blocks of sets that meet in tasks; a task
+gives at most one link per class and component. So no list gives rows by the square of its size, and none is cut off.
 
 Null and empty texts have no shingles and link with nothing; fewer than five words are one shingle. Repeated rows share
 their doc_id's component. Empty tables give empty results.
@@ -25,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import WordHasher, column, mix, release, stored, text_chunks, texts_of
 from .components import components
 
-WORDS, SKETCH, LISTED, LEAST_SHARED, SMALL, DEPTH, SLACK = 5, 64, 32, 17, 32, 3, 0.22
+WORDS, SKETCH, LISTED, LEAST_SHARED, SMALL, BLOCK, SLACK = 5, 64, 32, 17, 32, 150_000, 0.22
 STEP = np.uint64(0xD6E8FEB86659FD93)
 SETS = "doc_id long, n_shingles long, set_a long, set_b long, values array<long>"
 
@@ -121,48 +121,79 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, sketch: int) -> Da
     return full.filter(100 * F.col("common") >= percent * (F.size("values_a") + F.size("values_b") - F.col("common"))).select("a", "b")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, percent: int = 75, words: int = WORDS, sketch: int = SKETCH, small: int = SMALL,
-                   depth: int = DEPTH) -> DataFrame:
+def linked_classes(docs: DataFrame, classes: DataFrame, percent: int = 75, words: int = WORDS, sketch: int = SKETCH, small: int = SMALL) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     nodes = spark.createDataFrame([], "node long, component long")
-    ordered = stored(rare_first(classes, percent), "rare-first")
-    rows = ordered.select("id", F.posexplode(F.slice("values", F.lit(1), F.col("quota"))).alias("pos", "key")).select("key", "id", "pos")
-    sets = None
-    for level in range(1, depth + 1):
-        rows = stored(rows, "list-rows")
-        sizes = stored(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("first")).filter("m > 1"), "list-sizes")
-        if sets is None:
-            sets = stored(full_sets(docs, rows.join(sizes, "key").select("id").distinct(), words, sketch), "full-sets")
-            release(spark)
-        short = rows.join(sizes.filter(F.col("m") <= small).select("key"), "key")
-        members = short.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))  # ``small`` ids at most
-        pairs = members.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).filter("a < b")
-        long_lists = sizes.filter(F.col("m") > small).select("key", "first")
-        stars = rows.join(long_lists, "key").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-        links, nodes = _look_at(pairs.unionByName(stars), links, nodes, sets, percent, sketch)
-        if long_lists.isEmpty():
-            return links
-        hot = rows.join(long_lists.select("key"), "key").join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", "pos", F.coalesce("component", "id").alias("component"))
-        hot = stored(hot, "long-lists")
-        parts = hot.groupBy("key", "component").agg(F.count("*").alias("size"))
-        lists = parts.groupBy("key").agg(F.sum("size").alias("m"), F.max(F.struct("size", "component")).alias("main"))
-        lists = stored(lists.select("key", "main.component", (F.col("m") - F.col("main.size")).alias("outside")).filter("outside > 0"), "list-parts")
-        few, last = F.col("outside") <= small, level == depth
-        outside = hot.join((lists if last else lists.filter(few)).withColumnRenamed("component", "main"), "key").filter("component <> main")
-        whole = hot.select("key", F.col("id").alias("other"), F.col("component").alias("theirs"))
-        rest = outside.join(whole, "key").filter("component <> theirs").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        links, nodes = _look_at(rest, links, nodes, sets, percent, sketch)
-        many = lists.filter(~few).select("key")
-        if last or many.isEmpty():
-            return links
-        # Linked classes that share one of the first q values share two of the first q + 1.
-        ahead = F.posexplode(F.slice("values", F.col("pos") + 2, F.greatest(F.lit(0), F.col("quota") + level - F.col("pos") - 1))).alias("ahead", "value")
-        rows = hot.join(many, "key").join(ordered, "id").select("key", "id", "pos", ahead).select(
-            F.xxhash64("key", "value").alias("key"), "id", (F.col("pos") + 1 + F.col("ahead")).alias("pos"))
-    return links
+    ordered = rare_first(classes, percent)
+    rows = stored(ordered.select("id", F.explode(F.slice("values", F.lit(1), F.col("quota"))).alias("key")), "list-rows")
+    sizes = stored(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("first")).filter("m > 1"), "list-sizes")
+    sets = stored(full_sets(docs, rows.join(sizes, "key").select("id").distinct(), words, sketch), "full-sets")
+    release(spark)
+    short = rows.join(sizes.filter(F.col("m") <= small).select("key"), "key")
+    members = short.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))  # ``small`` ids at most
+    pairs = members.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).filter("a < b")
+    long_lists = sizes.filter(F.col("m") > small).select("key", "first")
+    stars = rows.join(long_lists, "key").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    links, nodes = _look_at(pairs.unionByName(stars), links, nodes, sets, percent, sketch)
+    if long_lists.isEmpty():
+        return links
+    hot = stored(rows.join(long_lists.select("key"), "key").join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")), "long-lists")
+    parts = hot.groupBy("key", "component").agg(F.count("*").alias("size"))
+    lists = parts.groupBy("key").agg(F.sum("size").alias("m"), F.max(F.struct("size", "component")).alias("main")).filter("m > main.size")
+    lists = stored(lists.select("key", F.col("main.component").alias("main")), "list-parts")
+    full = hot.join(lists, "key").join(sets.select("id", "values"), "id")
+    outside, whole = set_blocks(full.filter("component <> main"), "u"), set_blocks(full, "w")
+    more = outside.join(whole, "key").select("u", "w").mapInPandas(block_links(percent), "a long, b long")
+    return stored(links.unionByName(more), "links")
+
+
+def set_blocks(rows: DataFrame, name: str) -> DataFrame:
+    """(key, block of sets): each list's rows (id, component, values) in blocks of about ``BLOCK`` values, as bytes."""
+    blocks = rows.groupBy("key").agg(F.ceil(F.sum(F.size("values")) / BLOCK).cast("int").alias("blocks"))
+
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        lengths = np.array([len(v) for v in frame["values"]], np.int64)
+        arrays = [np.array([len(frame)], np.int64), frame["id"].to_numpy(np.int64), frame["component"].to_numpy(np.int64), lengths, *frame["values"]]
+        return pd.DataFrame({"key": [key[0]], name: [np.concatenate(arrays).astype(np.int64).tobytes()]})
+
+    numbered = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    return numbered.groupBy("key", "block").applyInPandas(pack, f"key long, {name} binary")
+
+
+def block_links(percent: int):
+    """A task's work: links between a block of outsiders and a block of the whole list, a few for each that has any."""
+
+    def sets_in(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        data = np.frombuffer(data, np.int64)
+        n = int(data[0])
+        return data[1 : n + 1], data[n + 1 : 2 * n + 1], data[2 * n + 1 : 3 * n + 1], data[3 * n + 1 :]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for u, w in zip(frame["u"], frame["w"], strict=True):
+                (ids, parts, sizes, values), (their_ids, their_parts, their_sizes, their_values) = sets_in(u), sets_in(w)
+                common = np.intersect1d(values, their_values)
+                row, their_row = np.repeat(np.arange(len(ids)), sizes), np.repeat(np.arange(len(their_ids)), their_sizes)
+                at, their_at = np.searchsorted(common, values), np.searchsorted(common, their_values)
+                own = (at < len(common)) & (common[np.minimum(at, len(common) - 1)] == values)
+                theirs = (their_at < len(common)) & (common[np.minimum(their_at, len(common) - 1)] == their_values)
+                met = np.zeros((len(ids), len(their_ids)), np.float32)
+                for low in range(0, len(common), 4096):  # counts of common values, exact in single precision
+                    left, right = np.zeros((len(ids), 4096), np.float32), np.zeros((len(their_ids), 4096), np.float32)
+                    mine, other = own & (at >= low) & (at < low + 4096), theirs & (their_at >= low) & (their_at < low + 4096)
+                    left[row[mine], at[mine] - low] = 1
+                    right[their_row[other], their_at[other] - low] = 1
+                    met += left @ right.T
+                linked = (100 * met >= percent * (sizes[:, None] + their_sizes[None, :] - met)) & (parts[:, None] != their_parts[None, :])
+                found = set()
+                for i, j in zip(*np.nonzero(linked), strict=True):  # one link to each component is enough
+                    found.add((int(ids[i]), int(their_parts[j])))
+                yield pd.DataFrame(list(found), columns=["a", "b"], dtype=np.int64)
+
+    return run
 
 
 def _look_at(pairs: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, sketch: int) -> tuple[DataFrame, DataFrame]:
