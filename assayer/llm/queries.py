@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz, line_dedup, minhash, packing, pieces, pivots, secret_scan, topk, toxicity
+from . import katz, line_dedup, minhash, packing, pieces, pivots, secret_scan, suffixes, topk, toxicity
 from .common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
