@@ -101,16 +101,16 @@ def vif_split(table: DataFrame, threshold: float = 10.0) -> DataFrame:
     return table.withColumn("selected", F.col("vif") < threshold)
 
 
-def vif_prune(df: DataFrame, cols: list[str], label: str | None = None, threshold: float = 10.0, cap: int = 50, standardise: bool = False) -> DataFrame:
+def vif_prune(df: DataFrame, cols: list[str], label: str | None = None, threshold: float = 10.0, cap: int | None = None, standardise: bool = False) -> DataFrame:
     """``feature, vif, step``: drop the most inflated column until all are at most ``threshold``.
 
     The cross products are computed once; every round only removes a row and a
     column from the small matrix. ``step`` numbers the dropped columns and is
-    null for those kept. More than ``cap`` columns are first cut to the ``cap``
-    with the largest absolute correlation to ``label``.
+    null for those kept. No column is cut beforehand unless ``cap`` is given: then
+    only the ``cap`` with the largest absolute correlation to ``label`` take part.
     """
     work = list(cols)
-    if label is not None and len(work) > cap:
+    if label is not None and cap is not None and len(work) > cap:
         top = target_corr(df, work, label).orderBy(F.desc("corr_abs"), "feature").limit(cap).collect()
         chosen = {r["feature"] for r in top}
         work = [c for c in work if c in chosen]

@@ -30,6 +30,17 @@ def is_regressor(name: str) -> bool:
     return name in REGRESSORS
 
 
+_TREE = {"n_estimators", "max_depth", "min_samples_leaf"}
+#: Parameters that each estimator takes; any other name is an error. ``gamma`` and ``n_components`` belong to the feature map of the kernel machines.
+ACCEPTED = {
+    "ols": set(), "ridge": {"alpha"}, "elastic_net": {"alpha", "l1_ratio", "max_iter"}, "lasso": {"alpha", "max_iter"},
+    "svr": {"epsilon", "C", "max_iter", "gamma", "n_components"}, "logistic": {"C", "l1_ratio", "max_iter"},
+    "forest_regressor": _TREE | {"max_features"}, "forest_classifier": _TREE | {"max_features"},
+    "boost_regressor": _TREE | {"learning_rate", "subsample"}, "boost_classifier": _TREE | {"learning_rate", "subsample", "parallelism"},
+    "linear_svc": {"C", "max_iter", "parallelism"}, "rbf_svc": {"C", "max_iter", "parallelism", "gamma", "n_components"},
+}
+
+
 def estimator(
     name: str, params: dict | None = None, n_rows: int | None = None, label: str = "label", seed: int = 42,
     weight: str | None = None, label_std: float | None = None,
@@ -43,8 +54,10 @@ def estimator(
     """
     p = dict(params or {})
     io = {"featuresCol": "features", "labelCol": label}
-    if weight and name not in ("boost_classifier", "linear_svc", "rbf_svc"):
-        io["weightCol"] = weight
+    if unknown := set(p) - ACCEPTED.get(name, set()):
+        raise ValueError(f"{name} takes no {', '.join(sorted(unknown))}")
+    if weight:
+        io["weightCol"] = weight  # one-versus-rest hands it on to its classifiers
     n, spread = float(n_rows or 1), float(label_std or 1.0)
     if name == "ols":
         return LinearRegression(solver="normal", **io)
@@ -70,7 +83,7 @@ def estimator(
     if name == "forest_classifier":
         return RandomForestClassifier(numTrees=p.get("n_estimators", 100), featureSubsetStrategy=p.get("max_features", "sqrt"), **tree, **io)
     boost = {"maxIter": p.get("n_estimators", 100), "stepSize": p.get("learning_rate", 0.1), "subsamplingRate": p.get("subsample", 1.0),
-             "maxDepth": min(p.get("max_depth", 3), MAX_DEPTH), "seed": seed}
+             "maxDepth": min(p.get("max_depth", 3), MAX_DEPTH), "minInstancesPerNode": p.get("min_samples_leaf", 1), "seed": seed}
     if name == "boost_regressor":
         return GBTRegressor(**boost, **io)
     if name == "boost_classifier":

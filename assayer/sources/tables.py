@@ -64,12 +64,13 @@ def is_monotonic(df: DataFrame, col: str, order: str) -> bool:
     return not any(r["fall"] for r in ranges) and all(a["last"] <= b["first"] for a, b in zip(ranges, ranges[1:]))
 
 
-def drop_index(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Drop the named index column, or the first column when it carries an index name."""
+def drop_index(df: DataFrame, name: str | None = None, order: str | None = None) -> DataFrame:
+    """Drop the named index column, or the first column when it carries an index name or, read in ``order``, never falls."""
     if name is not None:
         return df.drop(name)
     first = df.columns[0]
-    return df.drop(first) if first in INDEX_NAMES else df
+    found = first in INDEX_NAMES or (order is not None and is_monotonic(df, first, order))
+    return df.drop(first) if found else df
 
 
 def holdout(df: DataFrame, index: str, first: int, last: int) -> DataFrame:

@@ -95,9 +95,23 @@ def test_forest_ranks_planted_outliers_first(spark):
     assert scored["is_outlier"].sum() == 6
     assert len(forest["trees"]) == 50
     # The sampling branch for large tables gives a usable forest as well.
-    small = iforest.iforest_fit(df, ["a", "b"], "row_id", trees=4, psi=16)
+    small = iforest.iforest_fit(df, ["a", "b"], "row_id", trees=20, psi=16)
     again = iforest.iforest_score(df, small).toPandas()
-    assert set(again.nlargest(6, "score")["row_id"]) <= set(range(6)) | set(again.nlargest(30, "score")["row_id"])
+    assert set(range(6)) <= set(again.nlargest(30, "score")["row_id"])
+
+
+def test_weights_reach_every_classifier_and_unknown_parameters_raise():
+    for name in ("boost_classifier", "linear_svc", "rbf_svc", "logistic", "forest_classifier"):
+        assert models.estimator(name, weight="w").getWeightCol() == "w"
+    assert models.estimator("boost_regressor", {"min_samples_leaf": 7}).getMinInstancesPerNode() == 7
+    with pytest.raises(ValueError, match="min_samples_splitt"):
+        models.estimator("forest_regressor", {"min_samples_splitt": 2})
+
+
+def test_index_column_is_found_by_its_order(spark):
+    df = spark.createDataFrame([(i * 3, 10 - i, i) for i in range(10)], "number int, falling int, place int")
+    assert tables.drop_index(df, order="place").columns == ["falling", "place"]
+    assert tables.drop_index(df.select("falling", "place"), order="place").columns == ["falling", "place"]
 
 
 def test_principal_axes_are_orthonormal(spark, sf):
