@@ -14,6 +14,7 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from .common import column, stored, texts_of
 CAPACITY, STEP, END_ID = 2048, 8, 1
 #: Words whose ids a task remembers at most.
 REMEMBERED = 400_000
+#: New words that are encoded as one text.
+TOGETHER = 100
 
 
 def default_tokenizer() -> str:
@@ -46,15 +49,31 @@ class WordEncoder:
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
 
+    def learn(self, words: list[str]) -> None:
+        """Encode new words, ``TOGETHER`` in one text, as an object for each would cost more than its encoding.
+
+        Offsets tell the words' ids apart. They are sure where composing characters changes nothing; other words go alone.
+        """
+        plain = [w for w in words if unicodedata.is_normalized("NFC", w)]
+        alone = [w for w in words if not unicodedata.is_normalized("NFC", w)] if len(plain) < len(words) else []
+        groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        found = self.tokenizer.encode_batch([" ".join(g) for g in groups] + alone, add_special_tokens=False)
+        for group, ids in zip(groups, found):
+            begins = np.cumsum([0, *[len(w) + 1 for w in group[:-1]]])
+            at = np.array(ids.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = (4 * np.append(np.searchsorted(at, begins), len(at))).tolist()
+            data = np.array(ids.ids, "<u4").tobytes()
+            self.known.update(zip(group, [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
+        for word, ids in zip(alone, found[len(groups) :], strict=True):
+            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = [w for w in set().union(*split) if w not in known]
-        for word, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(ids.ids, "<u4").tobytes()
+        self.learn([w for w in set().union(*split) if w not in known])
         for words in split:
             yield b"".join([known[w] for w in words])
 
