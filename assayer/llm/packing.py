@@ -28,6 +28,8 @@ from assayer.functions.ranks import hash_rank
 from .common import column, stored, texts_of
 
 CAPACITY, STEP, END_ID = 2048, 8, 1
+#: Share of the sequences by which the linear program may miss its lower bound.
+GAP = 1e-5
 #: Words whose ids a task remembers at most.
 REMEMBERED = 400_000
 #: New words that are encoded as one text.
@@ -101,13 +103,16 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
 
 def best_pattern(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack by dynamic programming over the capacity: the dearest pattern under the prices ``value``."""
+    """Unbounded knapsack by dynamic programming over the capacity: the dearest pattern under the prices ``value``.
+
+    ``sizes`` ascend.
+    """
     best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        best[c], took[c] = best[c - 1], -1
-        fits = sizes <= c
-        if fits.any():
-            gain = np.where(fits, best[c - np.minimum(sizes, c)] + value, -1)
+        best[c], fits = best[c - 1], fitting[c]
+        if fits:
+            gain = best[c - sizes[:fits]] + value[:fits]
             k = int(gain.argmax())
             if gain[k] > best[c] + 1e-12:
                 best[c], took[c] = gain[k], k
@@ -121,17 +126,23 @@ def best_pattern(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[f
     return float(best[capacity]), pattern
 
 
-def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 5000) -> list[tuple[int, np.ndarray]]:
-    """(copies, pattern) pairs that hold the whole ``demand``; patterns count pieces per entry of ``sizes``."""
+def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 5000, gap: float = GAP) -> list[tuple[int, np.ndarray]]:
+    """(copies, pattern) pairs that hold the whole ``demand``; patterns count pieces per entry of ``sizes``, which ascend.
+
+    No pattern is worth more than the dearest one, so the duals over its worth are prices of a solution that cannot be
+    undercut. The search ends where this bound is within ``gap`` of the sequences used, or the same after rounding up.
+    """
     n = len(sizes)
     if not n:
         return []
     columns = np.diag(capacity // sizes).astype(float)  # the basis, a column a pattern
-    inverse = np.diag(1 / np.diag(columns))
+    inverse, least = np.diag(1 / np.diag(columns)), 0.0
     for _ in range(rounds):
         duals = inverse.sum(axis=0)
         worth, pattern = best_pattern(duals, sizes, capacity)
-        if worth <= 1 + 1e-9:
+        used = float(duals @ demand)
+        least = max(least, used / max(worth, 1.0))
+        if worth <= 1 + 1e-9 or used - least <= gap * used or np.ceil(used - 1e-6) <= np.ceil(least - 1e-6):
             break
         direction, level = inverse @ pattern, inverse @ demand
         ratio = np.where(direction > 1e-10, level / np.where(direction > 1e-10, direction, 1), np.inf)
