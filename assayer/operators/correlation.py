@@ -137,41 +137,56 @@ def pair_search(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     Every sum a correlation needs is an entry of a product of two n x p
     matrices, so each Arrow batch contributes a few p x p matrices and the
     whole search is one scan and one small aggregation, whatever the number of
-    pairs. A zero divisor is missing, as is a pair without variance.
+    pairs. Columns and reciprocals are taken less their means, and a product less
+    the product of the means, which leaves correlations as they are and keeps the
+    digits of columns that lie far from zero. A zero divisor is missing, as is a
+    pair without variance.
     """
     p = len(cols)
-    mean = collect_aggs(df, {"y": F.avg(q(label).cast("double"))})["y"] or 0.0
+    numeric = df.select(*[F.nanvl(q(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)], q(label).cast("double").alias("y"))
+    means = collect_aggs(numeric, {"y": F.avg(F.nanvl("y", F.lit(None).cast("double"))), **{f"x{i}": F.avg(f"x{i}") for i in range(p)}, **{
+        f"z{i}": F.avg(F.when(F.col(f"x{i}") != 0, 1 / F.col(f"x{i}"))) for i in range(p)}})
+    mean = {k: v if v is not None and np.isfinite(v) else 0.0 for k, v in means.items()}
+    of_y, of_x, of_z = mean["y"], np.array([mean[f"x{i}"] for i in range(p)]), np.array([mean[f"z{i}"] for i in range(p)])
+
+    def product(a, ma, mean_a, b, mb, mean_b, y):
+        """Sums over (mean_a + a) * (mean_b + b) - mean_a * mean_b for all pairs; ``a`` and ``b`` are 0 where missing."""
+        u, w, a2, b2 = mean_a[:, None], mean_b[None, :], a * a, b * b
+        cross, left, right = a.T @ b, a.T @ mb, ma.T @ b
+        parts = u * u * (ma.T @ b2) + w * w * (a2.T @ mb) + a2.T @ b2
+        squares = parts + 2 * (u * w * cross + u * (a.T @ b2) + w * (a2.T @ b))
+        with_y = u * ((ma * y).T @ b) + w * ((a * y).T @ mb) + (a * y).T @ b
+        return np.stack([ma.T @ mb, u * right + w * left + cross, squares, with_y, (ma * y).T @ mb, (ma * y * y).T @ mb, parts])
 
     def partial(batches):
-        total = np.zeros((4, 6, p, p))
+        total = np.zeros((4, 7, p, p))
         for pdf in batches:
             data = pdf.to_numpy(dtype=float)
             data = data[~np.isnan(data[:, p])]
-            x, y = data[:, :p], (data[:, p] - mean)[:, None]
-            m = (~np.isnan(x)).astype(float)
-            x = np.where(m > 0, x, 0.0)
-            mz = m * (x != 0)
-            z = np.divide(1.0, x, out=np.zeros_like(x), where=x != 0)
+            raw, y = data[:, :p], (data[:, p] - of_y)[:, None]
+            m = (~np.isnan(raw)).astype(float)
+            x = np.where(m > 0, raw - of_x, 0.0)
+            mz = m * (np.where(m > 0, raw, 0.0) != 0)
+            z = np.where(mz > 0, np.divide(1.0, raw, out=np.zeros_like(raw), where=mz > 0) - of_z, 0.0)
             x2, xy = x * x, x * y
             seen = np.stack([m.T @ m, (m * y).T @ m, (m * y * y).T @ m])
             left, right, cross = x.T @ m, m.T @ x, x.T @ x
             squares = x2.T @ m + m.T @ x2
             left_y, right_y = xy.T @ m, (m * y).T @ x
-            total[0] += np.stack([seen[0], left + right, squares + 2 * cross, left_y + right_y, seen[1], seen[2]])
-            total[1] += np.stack([seen[0], left - right, squares - 2 * cross, left_y - right_y, seen[1], seen[2]])
-            total[2] += np.stack([seen[0], cross, x2.T @ x2, xy.T @ x, seen[1], seen[2]])
-            total[3] += np.stack([m.T @ mz, x.T @ z, x2.T @ (z * z), xy.T @ z, (m * y).T @ mz, (m * y * y).T @ mz])
+            total[0] += np.stack([seen[0], left + right, squares + 2 * cross, left_y + right_y, seen[1], seen[2], squares])
+            total[1] += np.stack([seen[0], left - right, squares - 2 * cross, left_y - right_y, seen[1], seen[2], squares])
+            total[2] += product(x, m, of_x, x, m, of_x, y)
+            total[3] += product(x, m, of_x, z, mz, of_z, y)
         i, j = np.triu_indices(p, 1)
         for o in range(4):
-            yield pd.DataFrame({"o": o, "i": i, "j": j, **{f"s{k}": total[o, k][i, j] for k in range(6)}})
+            yield pd.DataFrame({"o": o, "i": i, "j": j, **{f"s{k}": total[o, k][i, j] for k in range(7)}})
 
-    ddl = "o int, i int, j int, " + ", ".join(f"s{k} double" for k in range(6))
-    numeric = df.select(*[q(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], q(label).cast("double").alias("y"))
-    s = numeric.mapInPandas(partial, ddl).groupBy("o", "i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(6)])
-    n, sd, sdd, sdy, sy, syy = (F.col(f"s{k}") for k in range(6))
+    ddl = "o int, i int, j int, " + ", ".join(f"s{k} double" for k in range(7))
+    s = numeric.mapInPandas(partial, ddl).groupBy("o", "i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(7)])
+    n, sd, sdd, sdy, sy, syy, parts = (F.col(f"s{k}") for k in range(7))
     var_d, var_y = n * sdd - sd * sd, n * syy - sy * sy
-    # Below this share of the raw second moment the variance is rounding noise.
-    real = (var_d > F.lit(1e-13) * n * sdd) & (var_y > 0)
+    # Below this share of the squares of its parts the variance is rounding noise.
+    real = (var_d > F.lit(1e-13) * n * parts) & (var_y > 0)
     corr = F.when(real, (n * sdy - sd * sy) / F.sqrt(var_d) / F.sqrt(var_y))
     names, kinds = F.array(*[F.lit(c) for c in cols]), F.array(*[F.lit(o) for o in OPERATIONS])
     return (

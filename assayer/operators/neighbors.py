@@ -10,9 +10,12 @@ one vector are cut to the few that can be among the neighbours before the join.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_uniform, row_hash
@@ -34,6 +37,7 @@ def knn_join(
     """``<row_id>, neighbor, distance, rank`` of the ``k`` nearest points of every query row.
 
     With ``by`` only points of the same group count. Ties go to the smaller id.
+    Rows with a null, NaN or infinite coordinate are no neighbours and have none.
     """
     raw = _prepare(points, cols, row_id, by)
     trees = _build_trees(raw, len(cols), leaf_rows)
@@ -61,7 +65,13 @@ def knn_join(
 
 def _prepare(df: DataFrame, cols: list[str], row_id: str, by: str | None) -> DataFrame:
     group = F.col(by).cast("string") if by else F.lit("")
-    return df.select(group.alias("g"), F.col(row_id).alias("id"), F.array(*[q(c).cast("double") for c in cols]).alias("v"))
+    return df.filter(complete(cols)).select(
+        group.alias("g"), F.col(row_id).alias("id"), F.array(*[q(c).cast("double") for c in cols]).alias("v"))
+
+
+def complete(cols: list[str]) -> Column:
+    """Whether all coordinates are finite numbers; NaN is above infinity in Spark's order."""
+    return reduce(and_, [F.coalesce(F.abs(q(c).cast("double")) < float("inf"), F.lit(False)) for c in cols])
 
 
 def _top_k(found: DataFrame, k: int) -> DataFrame:
@@ -245,8 +255,8 @@ def _nearest(qid, x, pid, y, k, exclude_self) -> pd.DataFrame:
 
 
 def knn_regress(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5, row_id: str = "row_id") -> DataFrame:
-    """``test`` with ``prediction``: the mean label of the ``k`` nearest training rows."""
+    """``test`` with ``prediction``: the mean label of the ``k`` nearest training rows, null where a coordinate is missing."""
     near = knn_join(test, train, cols, k, row_id)
     labels = train.select(F.col(row_id).alias("neighbor"), F.col(label).cast("double").alias("__y"))
     means = near.join(labels, "neighbor").groupBy(row_id).agg(F.avg("__y").alias("prediction"))
-    return test.join(means, row_id)
+    return test.join(means, row_id, "left")

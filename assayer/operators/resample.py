@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_uniform, row_hash
 from ..functions.ranks import hash_rank
 from ..functions.stats import q
 from ..session import cut_lineage
-from .neighbors import knn_join
+from .neighbors import complete, knn_join
 
 CLASS_LIMIT = 10_000  # classes whose sizes may come to the driver
+COPIES = 10_000  # copies of one row made in one go
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -32,11 +33,11 @@ def random_oversample(df: DataFrame, row_id: str, label: str, seed=42, out: str
     Each row of a class appears ``top // n`` times and the first ``top % n`` rows
     in hash order once more.
     """
-    top = max(_class_sizes(df, label).values(), default=0)
+    sizes = _class_sizes(df, label).values()
+    top = max(sizes, default=0)
     ranked = hash_rank(df, [row_id], seed, by=label, out="__rank", total="__n")
     times = F.expr(f"{top} div __n + if(__rank <= {top} % __n, 1, 0)")
-    copies = F.explode(F.sequence(F.lit(0), (times - 1).cast("int")))
-    return ranked.withColumn(out, copies).drop("__n", "__rank")
+    return _copies(ranked, times, top // min(sizes, default=1) + 1, out, 0).drop("__n", "__rank")
 
 
 def _class_sizes(df: DataFrame, label: str) -> dict:
@@ -59,37 +60,55 @@ def smote(df: DataFrame, row_id: str, cols: list[str], label: str, k: int = 5, s
     rows with copy 0 and the new rows with their base row and copy 1, 2, ... The
     base rows of a class take turns in hash order; neighbour and position on the
     segment come from a hash of base row and copy, so a rerun gives the same rows.
-    ``k`` is lowered to the smallest class size minus one.
+    ``k`` is lowered to the smallest class size minus one. Rows with a missing value
+    stay and are no base rows; the others of their class make up for them.
     """
-    sizes = _class_sizes(df, label)
+    every = _class_sizes(df, label)
+    sizes = {c: 0 for c in every} | _class_sizes(df.filter(complete(cols)), label)
     if not sizes or min(sizes.values()) < 2:
-        raise ValueError("every class needs at least two rows")
+        raise ValueError("every class needs at least two rows without missing values")
     k = min(k, min(sizes.values()) - 1)
-    top = max(sizes.values())
+    top = max(every.values())
     neighbor_type = df.schema[row_id].dataType.simpleString()
     base = df.select(row_id, *[q(c).cast("double").alias(c) for c in cols], label)
     original = base.select(
-        row_id, F.lit(0).alias("copy"), F.lit(False).alias("synthetic"), F.lit(None).cast(neighbor_type).alias("neighbor"),
+        row_id, F.lit(0).cast("bigint").alias("copy"), F.lit(False).alias("synthetic"), F.lit(None).cast(neighbor_type).alias("neighbor"),
         F.lit(None).cast("double").alias("gap"), *cols, label)
-    need = {c: top - n for c, n in sizes.items() if n < top}
+    need = {c: top - n for c, n in every.items() if n < top}
     if not need:
         return original
-    small = base.filter(F.col(label).isin(list(need)))
+    small = base.filter(F.col(label).isin(list(need)) & complete(cols))
     near = knn_join(small, small, cols, k, row_id, by=label, exclude_self=True).select(F.col(row_id).alias("__base"), "neighbor", "rank")
     turns = F.create_map(*[x for c, n in need.items() for x in (F.lit(c), F.struct(F.lit(n // sizes[c]).alias("all"), F.lit(n % sizes[c]).alias("first")))])
     ranked = hash_rank(small, [row_id], seed, by=label, out="__rank").withColumn("__t", turns[F.col(label)])
+    # Neighbours are joined to the base rows, k at most each; copies are made last and are not shuffled.
+    other = small.select(F.col(row_id).alias("neighbor"), F.array(*[q(c) for c in cols]).alias("__v"))
+    around = near.join(other, "neighbor").groupBy("__base").agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor", "__v"))).alias("__near"))
+    based = ranked.join(around, F.col(row_id) == F.col("__base"))
     times = F.col("__t.all") + F.when(F.col("__rank") <= F.col("__t.first"), 1).otherwise(0)
-    drawn = ranked.withColumn("__times", times).filter("__times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
+    most = max(n // sizes[c] + 1 for c, n in need.items())
     digest = row_hash(f"smote-{seed}", row_id, "copy")
-    drawn = drawn.withColumn("gap", hash_uniform(digest)).withColumn("__pick", (F.floor(hash_uniform(digest, 13) * k) + 1).cast("int"))
-    other = small.select(F.col(row_id).alias("neighbor"), *[q(c).alias(f"__o_{i}") for i, c in enumerate(cols)])
-    paired = drawn.join(near, (F.col(row_id) == F.col("__base")) & (F.col("__pick") == F.col("rank"))).join(other, "neighbor")
-    made = paired.select(
-        row_id, "copy", F.lit(True).alias("synthetic"), "neighbor", "gap",
-        *[(q(c) + F.col("gap") * (F.col(f"__o_{i}") - q(c))).alias(c) for i, c in enumerate(cols)], label)
+    drawn = _copies(based, times, most, "copy", 1).withColumn("gap", hash_uniform(digest)).withColumn(
+        "__other", F.element_at("__near", (F.floor(hash_uniform(digest, 13) * k) + 1).cast("int")))
+    made = drawn.select(
+        row_id, "copy", F.lit(True).alias("synthetic"), F.col("__other.neighbor").alias("neighbor"), "gap",
+        *[(q(c) + F.col("gap") * (F.col("__other.__v")[i] - q(c))).alias(c) for i, c in enumerate(cols)], label)
     return original.unionByName(made)
 
 
+def _copies(df: DataFrame, times: Column, most: int, out: str, first: int) -> DataFrame:
+    """Each row ``times`` times, numbered from ``first``; where ``most`` copies are too many for one task, chunks of them are dealt out."""
+    counted = df.withColumn("__times", times.cast("bigint")).filter("__times > 0")
+    if most > COPIES:
+        counted = counted.withColumn("__from", F.explode(F.expr(f"sequence(0L, __times - 1, {COPIES}L)")))
+        tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        counted = counted.repartition(tasks).withColumn("__times", F.least(F.col("__times") - F.col("__from"), F.lit(COPIES)))
+    else:
+        counted = counted.withColumn("__from", F.lit(0).cast("bigint"))
+    numbers = F.sequence(F.col("__from") + first, F.col("__from") + F.col("__times") + (first - 1))
+    return counted.withColumn(out, F.explode(numbers)).drop("__times", "__from")
+
+
 def tomek_links(df: DataFrame, row_id: str, cols: list[str], label: str) -> DataFrame:
     """``row_id`` of every row whose nearest neighbour is of another class and has it as nearest in turn."""
     near = knn_join(df, df, cols, 1, row_id, exclude_self=True).select(F.col(row_id).alias("a"), F.col("neighbor").alias("b"))
@@ -113,7 +132,7 @@ def smote_tomek(df: DataFrame, row_id: str, cols: list[str], label: str, k: int
     A table with a class of one row comes back as it is.
     """
     if not can_interpolate(df, label):
-        plain = df.select(row_id, F.lit(0).alias("copy"), F.lit(False).alias("synthetic"), *[q(c).cast("double").alias(c) for c in cols], label)
+        plain = df.select(row_id, F.lit(0).cast("bigint").alias("copy"), F.lit(False).alias("synthetic"), *[q(c).cast("double").alias(c) for c in cols], label)
         return plain.withColumn("uid", F.concat_ws(":", row_id, "copy"))
     grown = smote(df, row_id, cols, label, k, seed).drop("neighbor", "gap")
     grown = cut_lineage(grown.withColumn("uid", F.concat_ws(":", row_id, "copy")))

@@ -94,10 +94,10 @@ def test_forest_ranks_planted_outliers_first(spark):
     assert set(scored.nlargest(6, "score")["row_id"]) == set(range(6))
     assert scored["is_outlier"].sum() == 6
     assert len(forest["trees"]) == 50
-    # The sampling branch for large tables gives a usable forest as well.
-    small = iforest.iforest_fit(df, ["a", "b"], "row_id", trees=20, psi=16)
+    # Small samples per tree give a usable forest as well.
+    small = iforest.iforest_fit(df, ["a", "b"], "row_id", trees=100, psi=16)
     again = iforest.iforest_score(df, small).toPandas()
-    assert set(range(6)) <= set(again.nlargest(30, "score")["row_id"])
+    assert set(range(6)) <= set(again.nlargest(10, "score")["row_id"])
 
 
 def test_weights_reach_every_classifier_and_unknown_parameters_raise():
@@ -226,3 +226,27 @@ def test_csv_sniffing_index_and_names(spark, tmp_path):
     assert made.schema.names == tables.WINE_SCHEMA.names
     ordered = spark.range(1000).select("id", F.col("id").alias("i"), (F.col("id") % 10).alias("j"))
     assert tables.is_monotonic(ordered, "i", "id") and not tables.is_monotonic(ordered, "j", "id")
+
+
+def test_rows_with_missing_coordinates_stay_without_neighbours(spark):
+    rows = [(i, None if i % 10 == 0 else float("nan") if i % 10 == 1 else float(i), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id int, x double, y double")
+    got = {r["row_id"]: r["prediction"] for r in neighbors.knn_regress(df, df, ["x"], "y", 1).collect()}
+    assert len(got) == 200
+    assert all((v is None) == (i % 10 < 2) and v in (None, float(i)) for i, v in got.items())
+
+
+def test_smote_reaches_the_size_with_missing_values_and_chunks(spark, monkeypatch):
+    rows = [(i, float(i), "big") for i in range(60)] + [(100, 1.0, "few"), (101, 2.0, "few"), (102, None, "few")]
+    df = spark.createDataFrame(rows, "row_id int, x double, y string")
+    whole = resample.smote(df, "row_id", ["x"], "y").toPandas()
+    assert (whole["y"] == "few").sum() == 60
+    made = whole[whole["synthetic"]]
+    assert made["x"].between(1, 2).all() and not made.duplicated(["row_id", "copy"]).any()
+    repeated = resample.random_oversample(df, "row_id", "y").toPandas()
+    monkeypatch.setattr(resample, "COPIES", 4)
+    again = resample.smote(df, "row_id", ["x"], "y").toPandas()
+    key = ["row_id", "copy"]
+    pd.testing.assert_frame_equal(whole.sort_values(key).reset_index(drop=True), again.sort_values(key).reset_index(drop=True))
+    chunked = resample.random_oversample(df, "row_id", "y").toPandas()
+    pd.testing.assert_frame_equal(repeated.sort_values(key).reset_index(drop=True), chunked.sort_values(key).reset_index(drop=True))

@@ -205,3 +205,17 @@ def test_mutual_information_of_a_copy_is_its_entropy(spark):
     pdf["y"] = pdf["x"].astype(int)
     got = select.binned_mutual_information(spark.createDataFrame(pdf), ["x"], "y").first()["mi"]
     assert got == pytest.approx(math.log(4))
+
+
+def test_pair_search_keeps_the_digits_of_columns_far_from_zero(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(2, 2000))
+    data = pd.DataFrame({"a": 1e7 + a, "b": 1e7 + b, "flat": 3.3, "y": a + b})
+    df = spark.createDataFrame(data)
+    got = {(r["f1"], r["f2"], r["operation"]): r["corr_raw"] for r in correlation.pair_search(df, ["a", "b", "flat"], "y").collect()}
+    made = {"plus": F.col("a") + F.col("b"), "minus": F.col("a") - F.col("b"), "multiply": F.col("a") * F.col("b"), "divide": F.col("a") / F.col("b")}
+    want = df.select(*[F.corr(e, F.col("y")).alias(k) for k, e in made.items()]).first()
+    for k in made:
+        assert got[("a", "b", k)] == pytest.approx(want[k], abs=1e-5)
+    assert got[("a", "b", "plus")] > 0.999999 and got[("a", "b", "multiply")] > 0.999999
+    assert got[("a", "flat", "plus")] == pytest.approx(float(np.corrcoef(a, a + b)[0, 1]), abs=1e-6)
