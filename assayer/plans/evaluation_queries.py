@@ -201,7 +201,7 @@ def t10(spark, sf):
   c AS (SELECT row_id, quality, {_PER_LABEL.format(seed=42)} AS rk, n, (SELECT MAX(n) FROM n) AS top FROM order_features JOIN n ON q = quality)
 SELECT row_id, quality, CAST(copy AS INT) AS copy FROM (SELECT row_id, quality, UNNEST(RANGE(CAST(top // n + CASE WHEN rk <= top % n THEN 1 ELSE 0 END AS BIGINT))) AS copy FROM c)"""))
 def t11(spark, sf):
-    return resample.random_oversample(views.order_features(spark, sf), "row_id", "quality").select("row_id", "quality", "copy")
+    return resample.random_oversample(views.order_features(spark, sf), "row_id", "quality").select("row_id", "quality", F.col("copy").cast("int").alias("copy"))
 
 
 # ---- result tables -------------------------------------------------------

@@ -195,7 +195,7 @@ SELECT row_id, 0 AS copy, FALSE AS synthetic, CAST(NULL AS BIGINT) AS neighbor,
 UNION ALL SELECT a.row_id, CAST(copy AS INT), TRUE, other, {", ".join(r(f"a.{c} + gap * (b.{c} - a.{c})") for c in FEW)}, a.quality
 FROM spot a JOIN near ON base = a.row_id AND rk = pick JOIN order_features b ON b.row_id = other"""))
 def t07(spark, sf):
-    return rounded(resample.smote(_order(spark, sf), "row_id", list(FEW), LABEL).drop("gap"), list(FEW))
+    return rounded(resample.smote(_order(spark, sf), "row_id", list(FEW), LABEL).drop("gap").withColumn("copy", F.col("copy").cast("int")), list(FEW))
 
 
 _DIMS = [f"e{i}" for i in range(1, 65)]
