@@ -1,9 +1,10 @@
 """Embedding near-dedup by a pivot-permutation index.
 
 A bounded sample of vectors (those whose ids hash lowest, about the square root of the count, ``PIVOTS`` at most) serves as
-reference points. Each distinct vector is described by its ``DEPTH`` nearest ones, in order. The first ``ENTRIES`` of them are
-its inverted lists; two vectors of a list are candidates if they share ``SHARED`` of their ``DEPTH`` pivots, and only in the
-first list that both are in. The cosine of a candidate pair is then checked in double precision. Every vector is indexed.
+reference points, less those at a cosine of ``THIN`` or more to one kept before: a dense group keeps one or a few, so that its
+members share lists however large it is. Each distinct vector enters the inverted lists of its ``ENTRIES`` nearest ones. The
+cosine of each pair that meets in a list is checked in double precision, and counts only in the first list that both are in.
+Every vector is indexed.
 
 Equal vectors are one node with a count. Lists are cut into blocks; each pair of blocks is a task that gives a row per linked
 vector (how many it met, and the smallest one it reaches there), never the pairs themselves, so a list with a third of all
@@ -24,7 +25,7 @@ from .common import stored
 from .components import components
 from .vectors import finite, matrix
 
-PIVOTS, DEPTH, ENTRIES, SHARED, BLOCK = 4096, 12, 5, 4, 1024
+PIVOTS, ENTRIES, BLOCK, THIN = 4096, 5, 1024, 0.7
 
 
 def unit_rows(cells: np.ndarray) -> np.ndarray:
@@ -33,38 +34,35 @@ def unit_rows(cells: np.ndarray) -> np.ndarray:
     return cells / np.sqrt((cells * cells).sum(axis=1, keepdims=True))
 
 
-def bits_of(pivots: np.ndarray, words: int) -> np.ndarray:
-    """A bit set per row of the pivot numbers in that row."""
-    out = np.zeros((len(pivots), words), np.uint64)
-    rows = np.arange(len(pivots))
-    for k in range(pivots.shape[1]):
-        out[rows, pivots[:, k] >> 6] |= np.uint64(1) << (pivots[:, k] & 63).astype(np.uint64)
-    return out
+def thinned(points: np.ndarray, limit: float = THIN) -> np.ndarray:
+    """The unit rows, in order, less those at a cosine of ``limit`` or more to a row kept before."""
+    keep = np.ones(len(points), bool)
+    for i in range(len(points)):
+        if keep[i]:
+            keep[i + 1 :] &= points[i + 1 :] @ points[i] < limit
+    return points[keep]
 
 
-def candidates(a: np.ndarray, b: np.ndarray, entries: int, shared: int, pivot: int, words: int) -> np.ndarray:
-    """Which pairs of rows share enough pivots and meet in no list before ``pivot``'s."""
-    sets_a, sets_b, own_a, own_b = bits_of(a, words), bits_of(b, words), bits_of(a[:, :entries], words), bits_of(b[:, :entries], words)
-    count, earlier = np.zeros((len(a), len(b)), np.int16), np.zeros((len(a), len(b)), bool)
-    for w in range(words):
-        count += np.bitwise_count(sets_a[:, None, w] & sets_b[None, :, w])
-        if w <= pivot >> 6:
-            below = ~np.uint64(0) if w < pivot >> 6 else (np.uint64(1) << np.uint64(pivot & 63)) - np.uint64(1)
-            earlier |= (own_a[:, None, w] & own_b[None, :, w] & below) != 0
-    return (count >= shared) & ~earlier
+def first_shared(a: np.ndarray, b: np.ndarray, pivot: int) -> np.ndarray:
+    """Of pairs of rows that are both in ``pivot``'s list, which are in no list before it."""
+    earlier = np.zeros(len(a), bool)
+    for k in range(a.shape[1]):
+        for j in range(b.shape[1]):
+            earlier |= (a[:, k] == b[:, j]) & (a[:, k] < pivot)
+    return ~earlier
 
 
-def block_links(frame: pd.DataFrame, first: int, second: int, pivot: int, words: int, width: int, entries: int, shared: int, threshold: float) -> pd.DataFrame:
+def block_links(frame: pd.DataFrame, first: int, second: int, pivot: int, width: int, threshold: float) -> pd.DataFrame:
     """(id, links, reached) for the linked vectors of two blocks of a list."""
     frame = frame.sort_values("id")
     a = frame[frame["block"] == first]
     b = a if first == second else frame[frame["block"] == second]
     near = lambda f: np.stack(f["near"].to_numpy()) if len(f) else np.zeros((0, 1), np.int32)
-    linked = candidates(near(a), near(b), entries, shared, pivot, words)
-    cosine = unit_rows(matrix(a["vector"], width)) @ unit_rows(matrix(b["vector"], width)).T
-    linked &= cosine >= threshold
+    linked = unit_rows(matrix(a["vector"], width)) @ unit_rows(matrix(b["vector"], width)).T >= threshold
     if first == second:
         np.fill_diagonal(linked, False)
+    i, j = np.nonzero(linked)
+    linked[i, j] = first_shared(near(a)[i], near(b)[j], pivot)
     ids_a, ids_b, m_a, m_b = (f[c].to_numpy(np.int64) for c in ("id", "m") for f in (a, b))
     i, j = np.nonzero(linked)
     nodes, at = np.unique(np.concatenate([ids_a[i], ids_b[j]]), return_inverse=True)
@@ -83,7 +81,7 @@ def block_links(frame: pd.DataFrame, first: int, second: int, pivot: int, words:
     return pd.DataFrame({"id": nodes, "links": links.to_numpy(), "reached": reached})
 
 
-def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, entries: int = ENTRIES, depth: int = DEPTH, shared: int = SHARED) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, entries: int = ENTRIES, thin: float = THIN) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``embeddings``."""
     text = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))
     usable = finite() & F.exists("embedding", lambda x: x != 0)
@@ -95,28 +93,26 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, entries: int
     points = nodes.orderBy(F.xxhash64("id"), "id").limit(wanted).select("vector").toPandas()["vector"]
     if not len(points):
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    pivots = unit_rows(matrix(points, width))
-    words, top = -(-len(pivots) // 64), min(depth, len(pivots))
-    shared = min(shared, top)
+    pivots = thinned(unit_rows(matrix(points, width)), thin)
 
     def describe(frames):
         for frame in frames:
             if len(frame):
                 likeness = unit_rows(matrix(frame["vector"], width)) @ pivots.T
-                frame["near"] = list(np.argsort(-likeness, axis=1, kind="stable")[:, :top].astype(np.int32))
+                frame["near"] = list(np.argsort(-likeness, axis=1, kind="stable")[:, :entries].astype(np.int32))
                 yield frame
 
     described = stored(nodes.select("id", "m", "vector").mapInPandas(describe, nodes.select("id", "m", "vector", F.array(F.lit(0)).alias("near")).schema), "described")
-    entered = described.select("id", F.explode(F.slice("near", 1, entries)).alias("pivot"))
+    entered = described.select("id", F.explode("near").alias("pivot"))
     lists = entered.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # a row per pivot
-    members = described.select("*", F.explode(F.slice("near", 1, entries)).alias("pivot")).join(F.broadcast(lists), "pivot")
+    members = described.select("*", F.explode("near").alias("pivot")).join(F.broadcast(lists), "pivot")
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "id", "m", "vector", "near", "pivot", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         pivot, first, second = key
-        return block_links(frame, first, second, pivot, words, width, entries, shared, threshold)
+        return block_links(frame, first, second, pivot, width, threshold)
 
     found = stored(met.groupBy("pivot", "first", "second").applyInPandas(run, "id long, links long, reached long"), "block-links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))

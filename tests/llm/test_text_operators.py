@@ -248,6 +248,20 @@ def test_pivot_recall(spark):
     assert list(got.loc[5000:, "n_links"]) == [0, 0, 0] and got.loc[5000:, "kept"].all()
 
 
+@pytest.mark.parametrize("count, group_cosine", [(1500, 0.92), (4500, 0.92), (4500, 0.85)])
+def test_pivot_recall_in_a_dense_group(spark, count, group_cosine):
+    rng = np.random.default_rng(19)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    own = unit(rng.normal(size=(count // 3, 64)))
+    group = unit(group_cosine**0.5 * unit(rng.normal(size=(1, 64))) + (1 - group_cosine) ** 0.5 * own)
+    cells = np.concatenate([group, unit(rng.normal(size=(count - len(group), 64)))])
+    frame = pd.DataFrame({"vec_id": np.arange(count), "embedding": [c.tolist() for c in cells]})
+    got = pivots.near_duplicates(spark.createDataFrame(frame, "vec_id long, embedding array<double>")).toPandas().set_index("vec_id").sort_index()
+    links = (cells @ cells.T >= 0.9) & ~np.eye(count, dtype=bool)
+    found = got["n_links"].to_numpy()
+    assert (found <= links.sum(1)).all() and found.sum() >= 0.99 * links.sum() > 0
+
+
 def test_pieces(spark):
     texts = [None, "", " ", "  a  b", "a▁b ▁", "x\n\n y \n", "Hello world", "中文 é\t!", words(500, 3), "ab" * 3000, " \n"]
     docs = documents(spark, texts)
