@@ -7,6 +7,10 @@ counted and become one; a segment met twice is repeated throughout. Keys with se
 that may repeat within itself, are left, and a shard
 holds the segments of some of these keys: all places of a window are in one shard, and no other text is.
 
+*Oversized keys.* A passage of ``GRAM`` bytes or more, but fewer than ``LENGTH``, gives each document that holds it a different
+segment under one key. The windows of a key of more than ``SHARD`` bytes are split again by their own digests: they are counted per
+digest before the shuffle, and only digests met twice go back to their places, so no such key meets in one task.
+
 *Induced sorting.* A shard's text is suffix-sorted by induction: the suffixes at local minima (LMS) are ranked over a reduced
 text of their names, and in one ascending and one descending pass over the byte values each sorted suffix puts the suffix before
 it at the end of its value's queue. Queues keep at most ``IN_MEMORY`` entries in memory and the rest in the task's temporary
@@ -32,7 +36,12 @@ from pyspark.sql import functions as F
 
 from .common import BASE, SEED, column, mix, powers, release, stored, text_chunks, texts_of
 
-LENGTH, GRAM, SHARD, IN_MEMORY = 400, 128, 3_000_000, 4_000_000
+LENGTH, GRAM, SHARD, IN_MEMORY = 400, 128, 3_000_000, 400_000
+#: Windows of an oversized key handed over at a time, and places from which a digest's join is by broadcast.
+WINDOWS, COMMON = 1 << 18, 10_000
+
+
+RUNS = "d1 long, d2 long, runs array<struct<first:long,n:long>>"
 
 
 class ByteHasher:
@@ -101,26 +110,37 @@ def segment_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 class Queue:
-    """First in, first out, of suffix places; beyond ``limit`` entries of all queues the entries wait on disk."""
+    """First in, first out, of suffix places; beyond ``limit`` entries of all queues the entries wait on disk.
+
+    Each queue gathers up to a 256th of ``limit`` more entries before it writes a file.
+    """
 
     held = 0
 
     def __init__(self, folder: str, limit: int) -> None:
-        self.folder, self.limit, self.parts = folder, limit, []
+        self.folder, self.limit, self.parts, self.last, self.waiting = folder, limit, [], [], 0
 
     def push(self, places: np.ndarray) -> None:
-        if Queue.held + len(places) > self.limit:
+        if not self.last and Queue.held + len(places) <= self.limit:
+            Queue.held += len(places)
+            self.parts.append(places)
+            return
+        self.last.append(places)
+        self.waiting += len(places)
+        if self.waiting >= max(1, self.limit // 256):
             handle, path = tempfile.mkstemp(dir=self.folder)
             with os.fdopen(handle, "wb") as file:
-                file.write(places.tobytes())
+                file.writelines(p.tobytes() for p in self.last)
             self.parts.append(path)
-        else:
-            Queue.held += len(places)
-            self.parts.append(places)
+            self.last, self.waiting = [], 0
 
     def pop(self) -> Iterator[np.ndarray]:
         """All entries in order, those that are pushed meanwhile included."""
-        while self.parts:
+        while self.parts or self.last:
+            if not self.parts:
+                gathered, self.last, self.waiting = self.last, [], 0
+                yield np.concatenate(gathered)
+                continue
             part = self.parts.pop(0)
             if isinstance(part, str):
                 yield np.fromfile(part, np.int64)
@@ -244,37 +264,77 @@ def repeated_windows(segments: list[bytes], length: int, limit: int = IN_MEMORY)
     return out
 
 
+def shard_runs(pieces: DataFrame, length: int, shard: int) -> DataFrame:
+    """(d1, d2, runs) of the segments (key, d1, d2, data), suffix-sorted in shards of about ``shard`` bytes."""
+    shards = max(1, -(-(pieces.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]) // shard))
+
+    def sort_shard(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates(["d1", "d2"])
+        runs = repeated_windows(list(frame["data"]), length)
+        return pd.DataFrame({"d1": frame["d1"], "d2": frame["d2"], "runs": [[{"first": a, "n": n} for a, n in r] for r in runs]})
+
+    dealt = pieces.withColumn("shard", F.pmod("key", F.lit(shards)))
+    return dealt.groupBy("shard").applyInPandas(sort_shard, RUNS)
+
+
+def window_runs(pieces: DataFrame, length: int) -> DataFrame:
+    """(d1, d2, runs) of the segments of oversized keys that have any: windows whose digest stands twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            hasher = ByteHasher()
+            for batch in batches:
+                for d1, d2, data in zip(*(column(batch, c).to_pylist() for c in ("d1", "d2", "data")), strict=True):
+                    for low in range(0, len(data) - length + 1, WINDOWS):
+                        part = np.frombuffer(data[low : low + WINDOWS + length - 1], np.uint8)
+                        hasher.load(part)
+                        at = np.arange(len(part) - length + 1)
+                        w1, w2 = (hasher.parts(at, at + length, k).view(np.int64) for k in (0, 1))
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(at), d1), np.full(len(at), d2), low + at, w1, w2)], names=["d1", "d2", "at", "w1", "w2"])
+
+    one = pieces.select("d1", "d2", "data").dropDuplicates(["d1", "d2"])
+    windows = stored(one.mapInArrow(run, "d1 long, d2 long, at long, w1 long, w2 long"), "key-windows")
+    counted = stored(windows.groupBy("w1", "w2").agg(F.count("*").alias("m")).filter("m > 1"), "window-counts")
+    # Digests that very many places share would meet in one task; there are few of them.
+    common, others = (counted.filter(c).select("w1", "w2") for c in (F.col("m") > COMMON, F.col("m") <= COMMON))
+    found = windows.join(F.broadcast(common), ["w1", "w2"]).unionByName(windows.join(others, ["w1", "w2"]))
+
+    def gather(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        at = np.sort(frame["at"].to_numpy(np.int64))
+        cuts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        sizes = np.diff(cuts, append=len(at))
+        return pd.DataFrame({"d1": [key[0]], "d2": [key[1]], "runs": [[{"first": int(a), "n": int(n)} for a, n in zip(at[cuts], sizes, strict=True)]]})
+
+    return found.select("d1", "d2", "at").groupBy("d1", "d2").applyInPandas(gather, RUNS)
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """(doc_id, spans): byte ranges covered by repeated windows, as structs (start, end), possibly overlapping."""
     spark = docs.sparkSession
     every = stored(segment_table(docs, length, gram), "segments")
     kinds = every.groupBy("key", "d1", "d2").agg(F.count("*").alias("m"), F.max("again").alias("again"), F.min(F.struct("doc_id", "start", "windows")).alias("least"))
-    keys = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("m").alias("places"), F.max("again").alias("twice")).filter("places > 1 or twice = 1")
-    kinds = stored(kinds.join(keys.select("key", "kinds", "twice"), "key"), "segment-kinds")
+    keys = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("m").alias("places"), F.max("again").alias("twice"),
+        (F.sum(F.col("least.windows") + length - 1) > shard).alias("large")).filter("places > 1 or twice = 1")
+    kinds = stored(kinds.join(keys.select("key", "kinds", "twice", "large"), "key"), "segment-kinds")
     release(spark)
-    wanted = kinds.filter("kinds > 1 or twice = 1").select("key", "d1", "d2", "m", "least.*").groupBy("doc_id").agg(F.collect_list(F.struct("key", "d1", "d2", "start", "windows")).alias("wanted"))
+    wanted = kinds.filter("kinds > 1 or twice = 1").select("key", "large", "d1", "d2", "m", "least.*").groupBy("doc_id").agg(F.collect_list(F.struct("key", "large", "d1", "d2", "start", "windows")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, parts in zip(column(batch, "text").to_pylist(), column(batch, "wanted").to_pylist(), strict=True):
                 data = text.encode()
-                rows += [(x["key"], x["d1"], x["d2"], data[x["start"] : x["start"] + x["windows"] + length - 1]) for x in parts]
-            kinds_of = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds_of, strict=True)], names=["key", "d1", "d2", "data"])
+                rows += [(x["key"], x["large"], x["d1"], x["d2"], data[x["start"] : x["start"] + x["windows"] + length - 1]) for x in parts]
+            kinds_of = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds_of, strict=True)], names=["key", "large", "d1", "d2", "data"])
 
-    pieces = stored(docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(cut, "key long, d1 long, d2 long, data binary"), "segment-bytes")
+    pieces = stored(docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(cut, "key long, large boolean, d1 long, d2 long, data binary"), "segment-bytes")
     release(spark)
-    shards = max(1, -(-(pieces.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]) // shard))
-
-    def sort_shard(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["d1", "d2"])
-        runs = repeated_windows(list(frame["data"]), length)
-        return pd.DataFrame({"d1": frame["d1"], "d2": frame["d2"], "runs": [[{"first": a, "n": n} for a, n in r] for r in runs]})
-
-    dealt = pieces.withColumn("shard", F.pmod("key", F.lit(shards)))
-    found = dealt.groupBy("shard").applyInPandas(sort_shard, "d1 long, d2 long, runs array<struct<first:long,n:long>>")
-    found = stored(found, "sorted-shards")
+    found = stored(shard_runs(pieces.filter("not large"), length, shard), "sorted-shards")
+    large = pieces.filter("large")
+    if not large.isEmpty():
+        found = found.unionByName(stored(window_runs(large, length), "window-runs"))
+        release(spark)
     whole = kinds.filter("m > 1").select("d1", "d2", F.lit(True).alias("whole"))
     marked = found.join(whole, ["d1", "d2"], "full").filter(F.coalesce("whole", F.lit(False)) | (F.size("runs") > 0))
     at = every.select("doc_id", "start", "windows", "d1", "d2").join(marked, ["d1", "d2"])

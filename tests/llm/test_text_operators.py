@@ -309,6 +309,39 @@ def test_repeats(spark, corpus):
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeats_of_an_oversized_key(spark, monkeypatch):
+    passage = words(90, 78, 900)[:300]
+    texts = [f"{words(80, s % 50 + 100, 900)}{passage}{words(80, s % 40 + 300, 900)}" for s in range(120)]
+    docs = documents(spark, texts)
+    largest = {}
+
+    def seen(name, call):
+        def wrapped(pieces, *more):
+            largest[name] = pieces.groupBy("key").agg(F.sum(F.length("data")).alias("n")).agg(F.max("n")).first()[0]
+            return call(pieces, *more)
+
+        monkeypatch.setattr(suffixes, name, wrapped)
+
+    seen("shard_runs", suffixes.shard_runs)
+    seen("window_runs", suffixes.window_runs)
+    got = {r["doc_id"]: sorted((x["start"], x["end"]) for x in r["spans"]) for r in suffixes.repeats(docs, shard=10_000).collect()}
+    assert largest["window_runs"] > 10_000 and (largest["shard_runs"] or 0) <= 10_000
+    count = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+    for d, t in enumerate(texts):
+        want = {x for i in range(len(t) - 399) if count[t[i : i + 400]] > 1 for x in range(i, i + 400)}
+        assert {x for a, b in got.get(d, []) for x in range(a, b)} == want
+
+
+def test_queues_spill_below_the_size_of_a_shard(monkeypatch):
+    files, make = [], suffixes.tempfile.mkstemp
+    monkeypatch.setattr(suffixes.tempfile, "mkstemp", lambda **k: files.append(1) or make(**k))
+    n = 30_000
+    data = np.random.default_rng(23).integers(0, 256, n).astype(np.uint8)
+    order = suffixes.suffix_order(data, 64, suffixes.IN_MEMORY * n // suffixes.SHARD)
+    raw = data.tobytes()
+    assert files and order.tolist() == sorted(range(n), key=lambda i: raw[i : i + 64])
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns, before = docs.columns, docs.count()
