@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,24 @@ def test_minhash(spark, corpus, small, monkeypatch):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_minhash_of_shortened_copies(spark):
+    """Pairs at exactly 3/4, one text the start of the other, of which few of the smallest half of the sketch is shared."""
+    rng, texts = np.random.default_rng(29), []
+    hasher = minhash.WordHasher()
+    for k in range(40):
+        batch = [[f"r{k}x{i}y{x}" for x in rng.permutation(404)] for i in range(100)]
+        both = [" ".join(w) for w in batch] + [" ".join(w[:304]) for w in batch]
+        with np.errstate(over="ignore"):
+            sets = list(minhash.shingle_sets(hasher, pa.array(both)))
+        for i in range(100):
+            assert (len(sets[i]), len(sets[100 + i]), len(np.intersect1d(sets[i], sets[100 + i]))) == (400, 300, 300)
+            if len(np.intersect1d(sets[i][:32], sets[100 + i][:32])) <= 16:
+                texts += [both[i], both[100 + i]]
+    assert len(texts) >= 2
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def distance_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
