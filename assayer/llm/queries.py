@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz, line_dedup, minhash, packing, pieces, pivots, secret_scan, suffixes, topk, toxicity
+from . import audit, bpe, katz, line_dedup, minhash, packing, pieces, pivots, secret_scan, simplex, suffixes, topk, toxicity
 from .common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,89 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_nsimplex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex.report(simplex.fit(table(spark, sf_dir, "embeddings")))
+
+
+def _rounds(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of the clustering, a table of assignments ``a<i>`` and one of centroids ``c<i>`` each."""
+    parts = [f"""
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS cluster, v FROM v WHERE vec_id IS NOT NULL
+       ORDER BY sha256('3:' || vec_id), v LIMIT {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+    SELECT row, arg_min(cluster, {{'d': d, 'c': cluster}}) AS cluster, MIN(d) AS d
+    FROM (SELECT row, cluster, CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{i} c)
+    GROUP BY row)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+    SELECT cluster, COALESCE(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+        SELECT cluster, list(x ORDER BY place) AS v FROM (
+            SELECT cluster, place, (SUM(x)::BIGINT - ((SUM(x)::BIGINT % COUNT(*)) + COUNT(*)) % COUNT(*)) // COUNT(*) AS x
+            FROM (SELECT cluster, UNNEST(v.v) AS x, UNNEST(range(64)) AS place FROM v JOIN a{i} USING (row)) GROUP BY cluster, place)
+        GROUP BY cluster) m USING (cluster))""")
+    return ",".join(parts)
+
+
+ORACLE["op11_nsimplex"] = f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), {_rounds()}
+SELECT vec_id, cluster, a.d AS distance, CAST(SUM(a.d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(SUM(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(c.v, 'string_agg', ',')) AS centroid_sha256
+FROM v JOIN a10 a USING (row) JOIN c10 c USING (cluster)
+"""
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, COALESCE(text, '') AS text, COALESCE(source, '') AS part,
+           list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), firsts AS (SELECT text, MIN(doc_id) AS first FROM docs GROUP BY text
+), marks AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), flagged AS (
+    SELECT part, COALESCE(good, FALSE) AS good, COALESCE(toxic, FALSE) AS toxic,
+           CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN d.doc_id > first THEN 'E' ELSE '' END AS fails
+    FROM docs d JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)
+), counts AS (SELECT part, fails, good, toxic, COUNT(*) AS n FROM flagged GROUP BY ALL
+), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS own, left(filter_order, step - 1) AS earlier FROM orders, (SELECT CAST(UNNEST(range(1, 6)) AS INTEGER) AS step)
+), met AS (
+    SELECT part, filter_order, step, own, fails, good, toxic, n, contains(fails, own) AS failing, translate(fails, earlier, '') <> fails AS gone FROM counts, steps
+), summed AS (
+    SELECT part, filter_order, step, own,
+           SUM(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS kept, SUM(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+           SUM(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant, SUM(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+           SUM(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost, SUM(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+    FROM met GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
