@@ -23,7 +23,6 @@ import hashlib
 import heapq
 import itertools
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -53,15 +52,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def unassigned() -> str:
-    """A character class of all code points to which Python's Unicode tables give no meaning.
+def has_rare(text: str) -> bool:
+    """True if Python's Unicode tables give no meaning to a character of the text.
 
     Newer tables, which the tokenizers library and ``regex`` may have, can call such a character a letter, and not both the same way.
     """
-    free = np.flatnonzero([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
-    first = free[np.diff(free, prepend=-2) > 1]
-    last = free[np.diff(free, append=0x110002) > 1]
-    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first.tolist(), last.tolist(), strict=True)) + "]"
+    if text.isascii() or text.replace("\n", " ").isprintable():  # quick, and enough for nearly all texts
+        return False
+    return any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
 class BpeModel:
@@ -70,7 +68,7 @@ class BpeModel:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.cutter, self.rare = json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}), unassigned()
+        self.cutter = json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []})
         model, cutter = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or cutter["type"] != "ByteLevel" or not cutter["use_regex"] or cutter["add_prefix_space"] or spec["normalizer"]:
             raise ValueError("not a plain byte-level BPE file")
@@ -277,7 +275,6 @@ class BpeEncoder:
         self.model, self.words = model, regex.compile(WORDS)
         special = "|".join(regex.escape(t) for t in sorted(model.special, key=len, reverse=True))
         self.cut = regex.compile(f"({special})") if special else None
-        self.rare = re.compile(model.rare)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.merged = self.met = 0
@@ -304,7 +301,7 @@ class BpeEncoder:
         for k, plain in enumerate(self.cut.split(text) if self.cut else [text]):
             if k % 2:
                 yield self.model.special[plain]
-            elif not plain.isascii() and self.rare.search(plain):
+            elif has_rare(plain):
                 yield [plain[a:b] for a, b in self.library_cuts(plain)]
             elif len(plain) <= STRETCH:
                 yield self.words.findall(plain)
