@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import column_table, gram, moments, q
+from .boosting import Boost
 
 MAX_DEPTH = 30  # the deepest tree pyspark.ml grows
 
@@ -31,12 +31,13 @@ def is_regressor(name: str) -> bool:
 
 
 _TREE = {"n_estimators", "max_depth", "min_samples_leaf"}
+_BOOST = {"learning_rate", "subsample", "colsample_bytree", "reg_lambda", "min_samples_split", "min_child_weight", "gamma", "max_bins"}
 #: Parameters that each estimator takes; any other name is an error. ``gamma`` and ``n_components`` belong to the feature map of the kernel machines.
 ACCEPTED = {
     "ols": set(), "ridge": {"alpha"}, "elastic_net": {"alpha", "l1_ratio", "max_iter"}, "lasso": {"alpha", "max_iter"},
     "svr": {"epsilon", "C", "max_iter", "gamma", "n_components"}, "logistic": {"C", "l1_ratio", "max_iter"},
     "forest_regressor": _TREE | {"max_features"}, "forest_classifier": _TREE | {"max_features"},
-    "boost_regressor": _TREE | {"learning_rate", "subsample"}, "boost_classifier": _TREE | {"learning_rate", "subsample", "parallelism"},
+    "boost_regressor": _TREE | _BOOST, "boost_classifier": _TREE | _BOOST,
     "linear_svc": {"C", "max_iter", "parallelism"}, "rbf_svc": {"C", "max_iter", "parallelism", "gamma", "n_components"},
 }
 
@@ -82,12 +83,13 @@ def estimator(
         return RandomForestRegressor(numTrees=p.get("n_estimators", 100), featureSubsetStrategy=p.get("max_features", "all"), **tree, **io)
     if name == "forest_classifier":
         return RandomForestClassifier(numTrees=p.get("n_estimators", 100), featureSubsetStrategy=p.get("max_features", "sqrt"), **tree, **io)
-    boost = {"maxIter": p.get("n_estimators", 100), "stepSize": p.get("learning_rate", 0.1), "subsamplingRate": p.get("subsample", 1.0),
-             "maxDepth": min(p.get("max_depth", 3), MAX_DEPTH), "minInstancesPerNode": p.get("min_samples_leaf", 1), "seed": seed}
-    if name == "boost_regressor":
-        return GBTRegressor(**boost, **io)
-    if name == "boost_classifier":
-        return OneVsRest(classifier=GBTClassifier(**boost), parallelism=p.get("parallelism", 4), **io)
+    if name in ("boost_regressor", "boost_classifier"):
+        settings = {
+            "rounds": p.get("n_estimators", 100), "rate": p.get("learning_rate", 0.1), "depth": min(p.get("max_depth") or 3, MAX_DEPTH),
+            "leaf_rows": p.get("min_samples_leaf", 1), "split_rows": p.get("min_samples_split", 2), "leaf_weight": p.get("min_child_weight", 0.0),
+            "l2": p.get("reg_lambda", 0.0), "gain": p.get("gamma", 0.0), "rows": p.get("subsample", 1.0), "columns": p.get("colsample_bytree", 1.0),
+            "bins": p.get("max_bins", 128), "seed": seed}
+        return Boost(labelCol=label, weightCol=weight or "", classes=name == "boost_classifier", settings=json.dumps(settings))
     if name in ("linear_svc", "rbf_svc"):
         svc = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n), standardization=False, maxIter=p.get("max_iter", 50))
         return OneVsRest(classifier=svc, parallelism=p.get("parallelism", 4), **io)

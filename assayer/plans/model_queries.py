@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -260,13 +261,68 @@ _predict_query("a03_logistic_elastic_net", Recipe("logistic", COLS, {"C": 1.0, "
 _predict_query("a04_forest_regressor", Recipe("forest_regressor", COLS, _SMALL_TREES))
 _predict_query("a05_forest_classifier", Recipe("forest_classifier", COLS, _SMALL_TREES))
 _predict_query("a05_forest_classifier_balanced", Recipe("forest_classifier", COLS, _SMALL_TREES, resampling="weights"))
-_predict_query("a06_boost_regressor", Recipe("boost_regressor", COLS, {"n_estimators": 15, "max_depth": 3}))
-_predict_query("a07_boost_classifier", Recipe("boost_classifier", COLS, {"n_estimators": 3, "max_depth": 3}))
+_predict_query("a06_boost_regressor", Recipe("boost_regressor", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}))
+_predict_query("a07_boost_classifier", Recipe("boost_classifier", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}))
 _predict_query("a08_linear_svc", Recipe("linear_svc", COLS, {"C": 1.0, "max_iter": 10}, scaler="standard"))
 _predict_query("a08_rbf_svc", Recipe("rbf_svc", COLS, {"C": 1.0, "max_iter": 10, "n_components": 50}, scaler="standard"))
 _predict_query("a08_svr_rbf", Recipe("svr", COLS, {"C": 1.0, "n_components": 50}, scaler="standard"))
 
 
+_STUMP_COLS, _STUMPS = ("tens", "max_tax"), {"n_estimators": 4, "learning_rate": 0.5, "max_depth": 1}
+
+
+def _stump_rounds() -> str:
+    """Each round as SQL: sums below every value of both columns, the cut of highest gain, and the margins after it."""
+    steps = ["f0 AS (SELECT row_id, quality, CAST(FLOOR(min_qty / 10) AS DOUBLE) AS tens, max_tax, AVG(quality) OVER () AS f FROM order_features)"]
+    for i in range(_STUMPS["n_estimators"]):
+        values = " UNION ALL ".join(f"SELECT {k} AS k, {c} AS v, SUM(quality - f) AS s, COUNT(*) AS n FROM f{i} GROUP BY 2" for k, c in enumerate(_STUMP_COLS))
+        steps.append(f"""b{i} AS (SELECT k, v, s / n AS below, (total - s) / (rows - n) AS above
+      FROM (SELECT k, v, SUM(s) OVER (PARTITION BY k ORDER BY v) AS s, SUM(n) OVER (PARTITION BY k ORDER BY v) AS n, SUM(s) OVER (PARTITION BY k) AS total,
+            SUM(n) OVER (PARTITION BY k) AS rows FROM ({values}))
+      WHERE n < rows ORDER BY s * s / n + (total - s) * (total - s) / (rows - n) DESC, k, v LIMIT 1)""")
+        steps.append(f"""f{i + 1} AS (SELECT row_id, quality, tens, max_tax,
+      f + {_STUMPS["learning_rate"]} * CASE WHEN (CASE k WHEN 0 THEN tens ELSE max_tax END) <= v THEN below ELSE above END AS f FROM f{i}, b{i})""")
+    return ",\n  ".join(steps)
+
+
+@query("a06_boost_stumps", with_views("order_features", f"""THEN {_stump_rounds()}
+SELECT row_id, quality, {r('f', 5)} AS prediction FROM f{_STUMPS["n_estimators"]}"""))
+def a06_stumps(spark, sf):
+    df = _order(spark, sf).withColumn("tens", F.floor(F.col("min_qty") / 10).cast("double"))
+    model = tuning.fit(df, Recipe("boost_regressor", _STUMP_COLS, _STUMPS), LABEL)
+    return rounded(model.transform(df).select("row_id", LABEL, "prediction"), ["prediction"], 5)
+
+
+_ROUNDS = "SELECT UNNEST(RANGE(0, 101))::INT AS round, FALSE AS rose"
+
+
+def _losses(spark, model, first):
+    """A row a round: whether the training loss rose, and the loss before the first."""
+    rows = [(i, bool(i) and x > model.losses[i - 1] * (1 + 1e-9) + 1e-6) for i, x in enumerate(model.losses)]
+    return rounded(spark.createDataFrame(rows, "round int, rose boolean").withColumns({"loss_before": F.lit(float(model.losses[0])), **first}), ["loss_before", *first], 5)
+
+
+@query("a06_boost_invariants", with_views("order_features", f"""THEN n AS (SELECT VAR_POP(quality) AS loss, AVG(quality) AS mean FROM order_features)
+SELECT round, rose, {r('loss', 5)} AS loss_before, {r('mean', 5)} AS mean_prediction FROM ({_ROUNDS}), n"""))
+def a06_invariants(spark, sf):
+    """The loss starts at the variance and never rises; without a penalty the mean prediction stays the mean label."""
+    df = _order(spark, sf)
+    model = tuning.fit(df, Recipe("boost_regressor", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 2}), LABEL)
+    mean = model.transform(df).agg(F.avg("prediction")).first()[0]
+    return _losses(spark, model.model, {"mean_prediction": F.lit(mean)})
+
+
+@query("a07_boost_invariants", with_views("order_features", f"""THEN n AS (SELECT COUNT(*) AS n FROM order_features GROUP BY quality),
+  e AS (SELECT -SUM(n * LN(n / t)) / MAX(t) AS loss FROM (SELECT n, SUM(n) OVER () AS t FROM n))
+SELECT round, rose, {r('loss', 5)} AS loss_before, 1.0::DOUBLE AS mean_total FROM ({_ROUNDS}), e"""))
+def a07_invariants(spark, sf):
+    """The loss starts at the entropy of the classes and never rises; probabilities add up to 1."""
+    df = _order(spark, sf)
+    model = tuning.fit(df, Recipe("boost_classifier", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 2}), LABEL)
+    total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x)
+    return _losses(spark, model.model, {"mean_total": F.lit(model.transform(df).agg(F.avg(total)).first()[0])})
+
+
 # ---- selection with models -----------------------------------------------
 
 

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -102,8 +104,9 @@ def test_forest_ranks_planted_outliers_first(spark):
 
 def test_weights_reach_every_classifier_and_unknown_parameters_raise():
     for name in ("boost_classifier", "linear_svc", "rbf_svc", "logistic", "forest_classifier"):
-        assert models.estimator(name, weight="w").getWeightCol() == "w"
-    assert models.estimator("boost_regressor", {"min_samples_leaf": 7}).getMinInstancesPerNode() == 7
+        stage = models.estimator(name, weight="w")
+        assert stage.getOrDefault("weightCol") == "w"
+    assert json.loads(models.estimator("boost_regressor", {"min_samples_leaf": 7}).getOrDefault("settings"))["leaf_rows"] == 7
     with pytest.raises(ValueError, match="min_samples_splitt"):
         models.estimator("forest_regressor", {"min_samples_splitt": 2})
 
