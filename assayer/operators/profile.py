@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import column_quantiles
+from ..functions.quantiles import column_quantiles, quantile_table
 from ..functions.stats import column_table, numeric_columns, q, string_columns
 
 
@@ -144,14 +144,11 @@ def compare_stats(before: DataFrame, after: DataFrame, cols: list[str]) -> DataF
 
 def class_box(df: DataFrame, cols: list[str], label: str | None, exact: bool = True) -> DataFrame:
     """Five numbers per class and feature."""
-    cut = column_quantiles(df, cols, [0.25, 0.5, 0.75], by=label, exact=exact)
-    kind = df.schema[label].dataType.simpleString() if label else "int"
-    rows = [(g, c, *vals[c]) for g, vals in cut.items() for c in cols]
-    quart = df.sparkSession.createDataFrame(rows, f"label {kind}, feature string, q25 double, q50 double, q75 double")
-    base = df.withColumn("__label", F.col(label) if label else F.lit(None).cast("int"))
+    cut = quantile_table(df, cols, [0.25, 0.5, 0.75], by=label, exact=exact)
+    quart = cut.select(F.col("group").alias("label"), "feature", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
+    base = df.withColumn("__label", F.col(label) if label else F.lit(0))
     ends = column_table(base, cols, lambda c: {"n": F.count(q(c)), "min": F.min(q(c).cast("double")), "max": F.max(q(c).cast("double"))}, by="__label")
     joined = ends.withColumnRenamed("feature", "__f").join(
-        F.broadcast(quart), F.col("__label").eqNullSafe(F.col("label")) & (F.col("__f") == F.col("feature"))
-    )
+        quart, F.col("__label").eqNullSafe(F.col("label")) & (F.col("__f") == F.col("feature")))
     out = joined.select("label", "feature", "n", "min", "q25", "q50", "q75", "max")
     return out if label else out.drop("label")

@@ -36,10 +36,7 @@ def scale_fit(df: DataFrame, cols: list[str], how: str = "standard", exact: bool
         rows = df.count()
         n = min(n_quantiles, rows)
         probs = [i / (n - 1) for i in range(n)] if n > 1 else [0.5]
-        # A thousand exact order statistics would mean a thousand brackets; the sketch
-        # answers them all at once with a rank error of n / 10,000.
-        few = rows * len(cols) <= 5_000_000
-        cut = column_quantiles(df, cols, probs, exact=few, cell_limit=5_000_000)[None]
+        cut = column_quantiles(df, cols, probs, exact=exact)[None]
         return {"how": how, "columns": {c: v for c, v in cut.items() if v[0] is not None}}
     if how == "yeo_johnson":
         return {"how": how, "columns": _yeo_johnson_fit(df, cols)}

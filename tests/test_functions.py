@@ -15,27 +15,47 @@ def _pandas_quantiles(pdf, cols, probs):
     return {c: [float(pdf[c].quantile(p)) for p in probs] for c in cols}
 
 
-@pytest.mark.parametrize("list_limit", [5, 20_000])
-def test_bracketed_quantiles_equal_the_direct_ones(spark, sf, list_limit):
+@pytest.mark.parametrize("cell_rows", [400, 100_000])
+def test_selected_quantiles_equal_the_direct_ones(spark, sf, cell_rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "CELL_ROWS", cell_rows)
     df = views.line_features(spark, sf)
     probs = [0.0, 0.1, 0.25, 0.5, 0.777, 1.0]
     direct = column_quantiles(df, views.LINE_COLS, probs)
-    assert column_quantiles(df, views.LINE_COLS, probs, cell_limit=0, list_limit=list_limit) == direct
+    assert column_quantiles(df, views.LINE_COLS, probs, cell_limit=0) == direct
     expected = _pandas_quantiles(df.toPandas(), views.LINE_COLS, probs)
     for c in views.LINE_COLS:
         assert direct[None][c] == pytest.approx(expected[c])
 
 
-def test_bracketed_quantiles_per_group_with_a_hot_value_and_nulls(spark, monkeypatch):
-    # A coarse sketch forces brackets that must be widened and cut again.
+@pytest.mark.parametrize("limit", [0, 2 * 700])
+def test_a_thousand_quantiles_of_huge_and_tiny_groups(spark, monkeypatch, limit):
+    # A coarse sketch, a value of a third of all rows, null groups, null and NaN values, groups of one row.
     monkeypatch.setattr(quantiles, "ACCURACY", 20)
+    monkeypatch.setattr(quantiles, "CELL_ROWS", 150)
     rng = np.random.default_rng(1)
-    pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 3000, p=[0.7, 0.2, 0.1]), "x": rng.lognormal(size=3000), "y": rng.integers(0, 5, 3000).astype(float)})
-    pdf.loc[:1200, "x"] = 1.0
-    df = spark.createDataFrame(pdf).withColumn("x", F.when(F.col("y") == 4, None).otherwise(F.col("x")))
-    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    groups = rng.choice(["a", "b", "c", None], 4000, p=[0.7, 0.15, 0.1, 0.05]).tolist()
+    groups[:2] = ["one", "none"]
+    x = rng.lognormal(size=4000)
+    x[2:1400] = 1.0
+    rows = [(g, None if i % 11 == 0 or g == "none" else float("nan") if i % 97 == 0 else float(v), None if g == "b" else float(i % 5)) for i, (g, v) in enumerate(zip(groups, x))]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    probs = [i / 999 for i in range(1000)]
     direct = column_quantiles(df, ["x", "y"], probs, by="g")
-    assert column_quantiles(df, ["x", "y"], probs, by="g", cell_limit=0, list_limit=3) == direct
+    found = column_quantiles(df, ["x", "y"], probs, by="g", cell_limit=limit)
+    assert set(direct) == {"a", "b", "c", None, "one", "none"} and direct["b"]["y"] == [None] * 1000
+    for g in direct:
+        for c in ("x", "y"):
+            assert np.array_equal(np.array(direct[g][c], float), np.array(found[g][c], float), equal_nan=True), (g, c)
+    assert column_quantiles(df.repartition(9), ["y"], probs, cell_limit=limit) == column_quantiles(df, ["y"], probs)
+
+
+def test_quantile_table_has_a_row_a_group_and_column(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id % 300 AS g", "CAST(id AS DOUBLE) AS x", "CAST(NULL AS DOUBLE) AS y")
+    monkeypatch.setattr(quantiles, "GROUP_LIMIT", 100)
+    got = {(r["group"], r["feature"]): r["quantiles"] for r in quantiles.quantile_table(df, ["x", "y"], [0.0, 1.0], by="g", cell_limit=2).collect()}
+    assert all(got[g, "x"] == [float(g), float(g + 2700)] and got.get((g, "y")) is None for g in range(300))
+    with pytest.raises(ValueError, match="more than 100 groups"):
+        column_quantiles(df, ["x"], [0.5], by="g")
 
 
 def test_quantiles_of_nothing(spark):

@@ -102,7 +102,7 @@ def test_forest_ranks_planted_outliers_first(spark):
     assert set(range(6)) <= set(again.nlargest(10, "score")["row_id"])
 
 
-def test_weights_reach_every_classifier_and_unknown_parameters_raise():
+def test_weights_reach_every_classifier_and_unknown_parameters_raise(spark):
     for name in ("boost_classifier", "linear_svc", "rbf_svc", "logistic", "forest_classifier"):
         stage = models.estimator(name, weight="w")
         assert stage.getOrDefault("weightCol") == "w"
