@@ -15,10 +15,11 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from ..functions.stats import q
 from ..session import cached
-from . import impute, models, neighbors, resample, scale, splits
+from . import impute, linear, models, neighbors, resample, scale, splits
 from .derive import encode_label, label_fit, poly2, to_class
 
 CELL_LIMIT = 1_000_000  # (label, predicted class) cells that may come to the driver
@@ -121,35 +122,55 @@ def fit(train: DataFrame, recipe: Recipe, label: str, row_id: str = "row_id") ->
 
 
 def score(predicted: DataFrame, label: str, prediction: str = "prediction", limits: tuple[int, int] | None = None) -> dict[str, float]:
-    """All regression and class metrics from one grouped pass.
+    """All regression and class metrics from one grouped pass; class metrics are left out if a label is no whole number."""
+    return next(iter(scores(predicted, [], label, prediction, limits).values()))
 
-    The rows are merged per (label, rounded and clipped prediction); everything
+
+def scores(predicted: DataFrame, by: list[str], label: str, prediction: str = "prediction", limits: tuple[int, int] | None = None) -> dict[tuple, dict[str, float]]:
+    """The metrics of every group of ``by``.
+
+    The rows are merged per (label, rounded and clipped prediction), or into one cell where the label is no whole number; everything
     else is arithmetic on that small table.
     """
-    error = F.col(label) - F.col(prediction)
+    y, error = F.col(label).cast("double"), F.col(label) - F.col(prediction)
     rounded = F.rint(prediction) if limits is None else to_class(prediction, *limits)
-    cells = predicted.groupBy(F.col(label).cast("double").alias("y"), rounded.cast("double").alias("c")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("se"), F.sum(F.abs(error)).alias("ae"))
+    whole = y == F.rint(y)
+    cells = predicted.groupBy(*by, F.when(whole, y).alias("__y"), F.when(whole, rounded.cast("double")).alias("__c")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("se"), F.sum(F.abs(error)).alias("ae"),
+        F.avg(y).alias("mean"), F.var_pop(y).alias("var"), F.first(whole).alias("whole"))
     rows = cells.limit(CELL_LIMIT + 1).collect()
     if len(rows) > CELL_LIMIT:
-        raise ValueError(f"{label} is not a class column; use evaluate.regression_metrics")
-    y, c, n, se, ae = (np.array([r[k] for r in rows], dtype=float) for k in ("y", "c", "n", "se", "ae"))
+        raise ValueError(f"{label} has too many classes; use evaluate.regression_metrics")
+    groups: dict[tuple, list] = {} if by else {(): []}
+    for r in rows:
+        groups.setdefault(tuple(r[c] for c in by), []).append(r)
+    return {key: _metrics(found, limits) for key, found in groups.items()}
+
+
+def _metrics(rows: list, limits: tuple[int, int] | None) -> dict[str, float]:
+    n, se, ae, mean, var = (np.array([r[k] if r[k] is not None else np.nan for r in rows], dtype=float) for k in ("n", "se", "ae", "mean", "var"))
+    total = n.sum()
+    centre = np.nansum(n * mean) / total if total else 0.0
+    spread = np.nansum(n * (var + (mean - centre) ** 2)) / total if total else 0.0
+    mse = np.nansum(se) / total if total else 0.0
+    out = {"n": float(total), "mse": mse, "rmse": mse ** 0.5, "mae": np.nansum(ae) / total if total else 0.0, "r2": 1 - mse / spread if spread else 0.0}
+    if not all(r["whole"] for r in rows):
+        return out
+    y, c = (np.array([r[k] for r in rows], dtype=float) for k in ("__y", "__c"))
     if limits is None and len(y):
         c = np.clip(c, y.min(), y.max())
-    total, mean = n.sum(), (n * y).sum() / n.sum()
-    mse, var = se.sum() / total, (n * (y - mean) ** 2).sum() / total
     classes = np.unique(np.concatenate([y, c]))
-    table = np.zeros((len(classes), len(classes)))
-    np.add.at(table, (np.searchsorted(classes, y), np.searchsorted(classes, c)), n)
-    hit, truth, guess = np.diag(table), table.sum(axis=1), table.sum(axis=0)
+    i, j = np.searchsorted(classes, y), np.searchsorted(classes, c)
+    count = lambda at, weight: np.bincount(at, weight, len(classes)).astype(float)
+    hit, truth, guess = count(i[i == j], n[i == j]), count(i, n), count(j, n)
     f1 = np.divide(2 * hit, truth + guess, out=np.zeros_like(hit), where=truth + guess > 0)
-    i = np.arange(len(classes))
-    w = (i[:, None] - i[None, :]) ** 2
-    expected = (w * np.outer(truth, guess)).sum() / total
-    return {
-        "n": float(total), "mse": mse, "rmse": mse ** 0.5, "mae": ae.sum() / total, "r2": 1 - mse / var if var else 0.0,
-        "accuracy": hit.sum() / total, "f1_macro": float(f1.mean()), "f1_weighted": float((f1 * truth).sum() / total),
-        "qwk": float(1 - (w * table).sum() / expected) if expected else 0.0,
+    # The expected disagreement of independent margins needs their first two moments only.
+    place = np.arange(len(classes), dtype=float)
+    expected = (truth + guess) @ place**2 - 2 * (truth @ place) * (guess @ place) / total if total else 0.0
+    return out | {
+        "accuracy": hit.sum() / total if total else 0.0, "f1_macro": float(f1.mean()) if len(f1) else 0.0,
+        "f1_weighted": float((f1 * truth).sum() / total) if total else 0.0,
+        "qwk": float(1 - (n * (i - j) ** 2).sum() / expected) if expected else 0.0,
     }
 
 
@@ -174,6 +195,9 @@ def in_parallel(tasks, parallelism: int = 4) -> list:
 
 
 def with_folds(df: DataFrame, row_id: str, label: str | None, k: int, seed=42) -> DataFrame:
+    """Folds that share out every class; a fractional label (by its type) gets plain ones."""
+    if label is not None and isinstance(df.schema[label].dataType, FractionalType):
+        label = None
     return df if "fold" in df.columns else splits.folds(df, row_id, k, seed, label)
 
 
@@ -182,6 +206,8 @@ def cross_validate(df: DataFrame, recipe: Recipe, label: str, row_id: str = "row
     if "fold" not in df.columns:
         with cached(with_folds(df.select(row_id, *recipe.cols, label), row_id, label, k, seed)) as folded:
             return cross_validate(folded, recipe, label, row_id, k, seed, parallelism)
+    if linear.fits(recipe):
+        return linear_runs(df, {"": recipe}, label, k)[""]
 
     def one(i):
         def run():
@@ -192,6 +218,12 @@ def cross_validate(df: DataFrame, recipe: Recipe, label: str, row_id: str = "row
     return in_parallel([one(i) for i in range(k)], parallelism)
 
 
+def linear_runs(folded: DataFrame, recipes: dict[str, Recipe], label: str, k: int) -> dict[str, list[dict]]:
+    """``cross_validate`` of many linear recipes: a scan for the cross products of all folds, and one for all predictions."""
+    found = scores(linear.fold_predictions(folded, recipes, label, k), ["run", "fold"], "label")
+    return {n: [{"fold": f, **found[n, f]} for f in range(k) if (n, f) in found] for n in recipes}
+
+
 def summarise(runs: list[dict]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of every metric over the folds."""
     names = [m for m in runs[0] if m not in ("fold", "n")]
@@ -204,9 +236,12 @@ def compare(df: DataFrame, recipes: dict[str, Recipe], label: str, row_id: str =
     keep = [row_id, *needed, label] + (["fold"] if "fold" in df.columns else [])
     with cached(with_folds(df.select(*keep), row_id, label, k, seed)) as folded:
         folded.count()
-        names = list(recipes)
-        runs = in_parallel([lambda n=n: cross_validate(folded, recipes[n], label, row_id, k, seed, parallelism=k) for n in names], parallelism)
-    return {n: summarise(r) for n, r in zip(names, runs)}
+        plain = {n: r for n, r in recipes.items() if linear.fits(r)}
+        found = linear_runs(folded, plain, label, k) if plain else {}
+        rest = [n for n in recipes if n not in plain]
+        runs = in_parallel([lambda n=n: cross_validate(folded, recipes[n], label, row_id, k, seed, parallelism=k) for n in rest], parallelism)
+    found.update(zip(rest, runs))
+    return {n: summarise(found[n]) for n in recipes}
 
 
 def summary_table(df: DataFrame, summaries: dict[str, dict], name: str = "run_name") -> DataFrame:
@@ -346,12 +381,21 @@ def rfecv(df: DataFrame, recipe: Recipe, label: str, row_id: str = "row_id", k:
     return size, means, rfe(df, recipe, label, row_id, size)
 
 
-def lasso_path(df: DataFrame, cols: list[str], label: str, alphas: list[float], row_id: str = "row_id", k: int = 5, seed=42, parallelism: int = 4) -> tuple[float, dict[str, float], dict[str, dict]]:
-    """Penalty with the smallest cross-validated error, the coefficients at it, and all scores."""
-    base = Recipe("lasso", tuple(cols), scaler="standard")
-    found = search(df, base, [{"alpha": a} for a in alphas], label, "mse", row_id, k, seed, parallelism)
-    coefficients = {c: float(v) for c, v in zip(found.model.cols, found.model.model.coefficients.toArray())}
-    return found.best_params["alpha"], coefficients, found.summaries
+def lasso_path(df: DataFrame, cols: list[str], label: str, alphas: list[float], row_id: str = "row_id", k: int = 5, seed=42) -> tuple[float, dict[str, float], dict[float, dict]]:
+    """Penalty with the smallest cross-validated error, the coefficients of standardised columns at it, and the errors of every penalty.
+
+    All penalties and folds come from one scan. Of equal errors the larger penalty wins.
+    """
+    found = linear.grams(with_folds(df.select(row_id, *cols, label, *(["fold"] if "fold" in df.columns else [])), row_id, label, k, seed), cols, label, "fold")
+    runs: dict[float, list[dict]] = {a: [] for a in sorted(set(alphas), reverse=True)}
+    for fold in found.folds:
+        for a, (intercept, w) in linear.path(found.without(fold), "lasso", alphas, scaler="standard").items():
+            runs[a].append({"fold": fold, **linear.errors(found.part([fold]), intercept, w)})
+    summaries = {a: summarise(r) for a, r in runs.items()}
+    alpha = min(runs, key=lambda a: (summaries[a]["mse"][0], -a))
+    whole = found.whole()
+    weights = linear.path(whole, "lasso", list(runs), scaler="standard")[alpha][1] * whole.spread("standard")
+    return alpha, dict(zip(cols, map(float, weights), strict=True)), summaries
 
 
 def subset_sweep(df: DataFrame, ordered: list[str], recipes: dict[str, Recipe], label: str, sizes: tuple[int, ...] = (10, 20, 30, 9999), metric: str = "qwk", **kw) -> dict[str, dict]:

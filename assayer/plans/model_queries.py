@@ -343,12 +343,48 @@ def l08(spark, sf):
     return workflows.select_from_model(models.importance_table(df, _forest_scores(df)))
 
 
-@query("l09_lasso_cv")
+_ALPHAS = [0.5 * 0.6**i for i in range(16)]
+_P = len(ORDER_COLS)
+
+
+def _fold_cov(folds: int) -> str:
+    """``sys``: covariances of the columns standardised on the training rows of each fold (-1: all rows); column ``_P`` is the label."""
+    names = [*ORDER_COLS, "quality"]
+    value = "CASE i " + " ".join(f"WHEN {i} THEN {c}::DOUBLE" for i, c in enumerate(names)) + " END"
+    return f"""f AS (SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(concat('42:', row_id)), row_id) - 1) % {folds} AS INT) AS fold FROM order_features),
+  g AS (SELECT UNNEST(RANGE(-1, {folds})) AS g), cells AS MATERIALIZED (SELECT row_id, fold, i, {value} AS x FROM f, (SELECT UNNEST(RANGE({_P + 1})) AS i)),
+  mid AS MATERIALIZED (SELECT g, i, AVG(x) AS m, STDDEV_POP(x) AS s, COUNT(*) AS n FROM g, cells WHERE fold <> g GROUP BY g, i),
+  pairs AS MATERIALIZED (SELECT a.fold, a.i, b.i AS j, SUM((a.x - ma.m) * (b.x - mb.m)) AS s, SUM(a.x - ma.m) AS da, SUM(b.x - mb.m) AS db, COUNT(*) AS n
+    FROM cells a JOIN cells b USING (row_id) JOIN mid ma ON ma.g = -1 AND ma.i = a.i JOIN mid mb ON mb.g = -1 AND mb.i = b.i GROUP BY ALL),
+  sys AS MATERIALIZED (SELECT g, p.i, p.j, (SUM(p.s) - SUM(da) * SUM(db) / SUM(p.n)) / SUM(p.n) / CASE p.i WHEN {_P} THEN 1 ELSE ANY_VALUE(mi.s) END / CASE p.j WHEN {_P} THEN 1 ELSE ANY_VALUE(mj.s) END AS v
+    FROM g JOIN pairs p ON p.fold <> g JOIN mid mi USING (g) JOIN mid mj USING (g) WHERE mi.i = p.i AND mj.i = p.j GROUP BY g, p.i, p.j)"""
+
+
+def _held_out(weights: str) -> str:
+    """``e``: error of every held-out row under the weights (g, run, i, w) of standardised columns."""
+    return f"""e AS (SELECT run, fold, row_id, ANY_VALUE(y.x) AS quality, ANY_VALUE(y.x) - ANY_VALUE(my.m) - SUM(w * (c.x - mc.m) / mc.s) AS err
+    FROM cells c JOIN {weights} ON g = c.fold AND {weights}.i = c.i JOIN mid mc ON mc.g = c.fold AND mc.i = c.i JOIN mid my ON my.g = c.fold AND my.i = {_P}
+    JOIN (SELECT row_id, x FROM cells WHERE i = {_P}) y USING (row_id) GROUP BY run, fold, row_id)"""
+
+
+def _descent(sweeps: int = 60) -> str:
+    """``lasso``: coordinate descent from zero as a recursive query; a step sets one weight, ``sweeps`` rounds of them for every fold and penalty."""
+    a = ", ".join(repr(x) for x in _ALPHAS)
+    return f"""cov AS MATERIALIZED (SELECT g, list(row ORDER BY i) AS a FROM (SELECT g, i, list(v ORDER BY j) AS row FROM sys GROUP BY g, i) GROUP BY g),
+  walk AS (SELECT g, al AS run, a, 0 AS step, list_transform(RANGE({_P}), lambda x: 0.0::DOUBLE) AS b FROM cov, (SELECT UNNEST([{a}]::DOUBLE[]) AS al)
+    UNION ALL SELECT g, run, a, step + 1, list_transform(RANGE(1, {_P + 1}), lambda k: CASE WHEN k <> c THEN b[k] ELSE SIGN(pull) * GREATEST(ABS(pull) - run, 0) / a[c][c] END)
+    FROM (SELECT *, a[c][{_P + 1}] - list_dot_product(a[c][1:{_P}], b) + a[c][c] * b[c] AS pull FROM (SELECT *, step % {_P} + 1 AS c FROM walk WHERE step < {_P * sweeps}))),
+  lasso AS MATERIALIZED (SELECT g, run, UNNEST(b) AS w, UNNEST(RANGE({_P})) AS i FROM walk WHERE step = {_P * sweeps})"""
+
+
+@query("l09_lasso_cv", with_views("order_features", f"""THEN {_fold_cov(3)}, {_descent(400)}, {_held_out('lasso')},
+  best AS (SELECT run FROM (SELECT run, fold, AVG(err * err) AS mse FROM e GROUP BY run, fold) GROUP BY run ORDER BY AVG(mse), run DESC LIMIT 1)
+SELECT {"[" + ", ".join(repr(c) for c in ORDER_COLS) + "]"}[i + 1] AS feature, {r('w', 5)} AS weight, ABS(w) > 1e-7 AS selected, run AS alpha FROM lasso JOIN best USING (run) WHERE g = -1""").replace("WITH ", "WITH RECURSIVE ", 1))
 def l09(spark, sf):
     df = _order(spark, sf)
-    alpha, weights, _ = tuning.lasso_path(df, ORDER_COLS, LABEL, [0.001, 0.01, 0.1], k=3)
-    rows = [(c, w, w != 0.0, alpha) for c, w in weights.items()]
-    return spark.createDataFrame(rows, "feature string, weight double, selected boolean, alpha double")
+    alpha, weights, _ = tuning.lasso_path(df, ORDER_COLS, LABEL, _ALPHAS, k=3)
+    rows = [(c, w, abs(w) > 1e-7, alpha) for c, w in weights.items()]
+    return rounded(spark.createDataFrame(rows, "feature string, weight double, selected boolean, alpha double"), ["weight"], 5)
 
 
 @query("l10_permutation_importance")
@@ -436,11 +472,26 @@ def l21(spark, sf):
 # ---- cross-validation and search -----------------------------------------
 
 
-@query("t06_cross_validate")
+def _ridge(alpha: float) -> str:
+    """``ridge``: the standardised system solved by elimination, a column a step."""
+    steps = [f"""s0 AS MATERIALIZED (SELECT g, i, j, v + CASE WHEN i = j THEN {alpha} / n ELSE 0 END AS v
+      FROM sys JOIN (SELECT g, n FROM mid WHERE i = {_P}) USING (g) WHERE i < {_P})"""]
+    for k in range(_P):
+        steps.append(f"""s{k + 1} AS MATERIALIZED (SELECT x.g, x.i, x.j, CASE WHEN x.i = {k} THEN x.v / pp.v ELSE x.v - ik.v * kj.v / pp.v END AS v
+      FROM s{k} x JOIN s{k} pp ON pp.g = x.g AND pp.i = {k} AND pp.j = {k} JOIN s{k} ik ON ik.g = x.g AND ik.i = x.i AND ik.j = {k} JOIN s{k} kj ON kj.g = x.g AND kj.i = {k} AND kj.j = x.j)""")
+    return ",\n  ".join(steps) + f", ridge AS (SELECT g, 0 AS run, i, v AS w FROM s{_P} WHERE j = {_P})"
+
+
+_CV_METRICS = ("n", "mse", "rmse", "mae", "r2")
+
+
+@query("t06_cross_validate", with_views("order_features", f"""THEN {_fold_cov(5)}, {_ridge(1.0)}, {_held_out('ridge')},
+  m AS (SELECT fold, COUNT(*)::DOUBLE AS n, AVG(err * err) AS mse, SQRT(AVG(err * err)) AS rmse, AVG(ABS(err)) AS mae, 1 - AVG(err * err) / VAR_POP(quality) AS r2 FROM e GROUP BY fold)
+""" + " UNION ALL ".join(f"SELECT fold, '{m}' AS metric, {r(m, 5)} AS value FROM m" for m in _CV_METRICS)))
 def t06(spark, sf):
     df = _order(spark, sf)
     runs = tuning.cross_validate(df, Recipe("ridge", COLS, scaler="standard"), LABEL, k=5)
-    return spark.createDataFrame([(x["fold"], m, float(v)) for x in runs for m, v in x.items() if m != "fold"], "fold int, metric string, value double")
+    return rounded(spark.createDataFrame([(x["fold"], m, float(x[m])) for x in runs for m in _CV_METRICS], "fold int, metric string, value double"), ["value"], 5)
 
 
 _FOLD_FIT = """cv AS (SELECT g.fold, AVG(sum_qty) AS m1, AVG(avg_disc) AS m2, AVG(quality) AS my, VAR_POP(sum_qty) AS s11, VAR_POP(avg_disc) AS s22,
