@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHasher, column, mix, release, stored, text_chunks, texts_of
 
-ORDER, GROUP, BUCKET, GOOD_TURING = 2, 2_000_000, 1_500_000, 5
+ORDER, GROUP, BUCKET, GOOD_TURING = 2, 1_000_000, 750_000, 5
 STEP, END, START = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9B97A5D1F2C3E4B7), np.uint64(0x5851F42D4C957F2D)
 ROW = "g long, kind string, idx int, data binary"
 
