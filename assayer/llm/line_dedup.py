@@ -197,11 +197,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs``, with repeated lines gone from ``text``, and ``__lines``, ``__removed``, ``__near``."""
-    gone = dropped_lines(docs, min_chars).withColumnRenamed("doc_id", "__id")
+    gone = dropped_lines(docs, min_chars).select(F.col("doc_id").alias("__id"), F.col("dropped").alias("__numbers"), F.col("near").alias("__inexact"))
     joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left")
     split = F.split("text", "\n", -1)
     kept = F.array_join(F.filter("__split", lambda x, i: ~F.array_contains("__dropped", i)), "\n")
-    return joined.withColumn("__split", split).withColumn("__dropped", F.coalesce("dropped", F.array().cast("array<int>"))).select(
+    return joined.withColumn("__split", split).withColumn("__dropped", F.coalesce("__numbers", F.array().cast("array<int>"))).select(
         *[F.when(F.size("__dropped") > 0, kept).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.coalesce(F.size("__split"), F.lit(0)).cast("long").alias("__lines"),
-        F.size("__dropped").cast("long").alias("__removed"), F.coalesce("near", F.lit(0)).cast("long").alias("__near"))
+        F.size("__dropped").cast("long").alias("__removed"), F.coalesce("__inexact", F.lit(0)).cast("long").alias("__near"))

@@ -17,7 +17,7 @@ largest component are left. These are compared with the whole list on full sets,
 gives at most one link per class and component. So no list gives rows by the square of its size, and none is cut off.
 
 Null and empty texts have no shingles and link with nothing; fewer than five words are one shingle. Repeated rows share
-their doc_id's component. Empty tables give empty results.
+their doc_id's component. A document without doc_id links with nothing, has no component and is kept. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def shingled(docs: DataFrame, keep: int | None, words: int = WORDS) -> DataFrame
 
 def classes_of(sketches: DataFrame) -> DataFrame:
     """(id, n, sketch) of each distinct non-empty set; id is the smallest doc_id that has it."""
-    grouped = sketches.filter("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.struct("doc_id", "values")).alias("least"))
+    grouped = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.struct("doc_id", "values")).alias("least"))
     return grouped.select(F.col("least.doc_id").alias("id"), F.col("n_shingles").alias("n"), F.col("least.values").alias("sketch"))
 
 
@@ -218,8 +218,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = WORDS) -> D
     release(docs.sparkSession)
     named = classes_named(sketches)
     nodes = components(links).withColumnRenamed("node", "id")
+    known = F.col("doc_id").isNotNull()
     return named.join(nodes, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        "doc_id", "n_shingles", F.when(known, F.coalesce("component", "id")).alias("component_id")).withColumn("kept", ~known | (F.col("doc_id") == F.col("component_id")))
 
 
 def classes_named(sketches: DataFrame) -> DataFrame:

@@ -371,3 +371,21 @@ def test_pipeline_stages(spark, sf):
     assert not any(secret_scan.Scanner().spans(t) for t in texts[:50])
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert packed.select("doc_id").distinct().count() == len(texts)
+
+
+def test_line_dedup_beside_columns_of_its_own_names(spark):
+    text = "a line of more than twenty characters"
+    rows = [(1, text, "n", "d", "w", "l", "x"), (2, text + "\nshort", "n", "d", "w", "l", "x"), (3, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near string, dropped string, wanted string, line string, number string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert [got[i]["text"] for i in (1, 2, 3)] == [text, "short", None] and [got[i]["near"] for i in (1, 2, 3)] == ["n", "n", None]
+    assert [got[i]["__removed"] for i in (1, 2, 3)] == [0, 1, 0]
+
+
+def test_minhash_loses_no_link_beside_a_document_without_id(spark):
+    base = words(100, 5, 5000)
+    near = base.replace(base.split()[50], "other", 1)
+    docs = stored(documents(spark, [base, near, "of its own " * 30]).unionByName(documents(spark, [base]).withColumn("doc_id", F.lit(None).cast("long"))), "no-id")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()), key=repr)
+    assert got == [(0, 0, True), (1, 0, False), (2, 2, True), (None, None, True)]
+    assert sorted((r["doc_id"] for r in minhash.keep_one(docs).collect()), key=repr) == [0, 2, None]
