@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import correlation, derive, evaluate, explain, iforest, impute, models, neighbors, outliers, resample, scale, select, splits, tuning
+from ..operators import correlation, derive, evaluate, explain, iforest, impute, models, neighbors, outliers, resample, scale, select, splits, tree_shap, tuning
 from ..operators.tuning import Recipe
 from ..session import cut_lineage, scratch_path
 from ..sources import ledger, tables, views
@@ -589,6 +589,36 @@ def e12_tree(spark, sf):
     return explain.sampled_shapley(model.transform, test, ORDER_COLS, permutations=4)
 
 
+@query("e12_tree_shap")
+def e12_forest(spark, sf):
+    train, test = _parts(_order(spark, sf))
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, {"n_estimators": 100, "max_depth": 5}), LABEL)
+    return tree_shap.shap_summary(tree_shap.tree_shap(model.model, test, ORDER_COLS, train), ORDER_COLS)
+
+
+@query("e12_tree_shap_adds_up", with_views("order_features", f"""SELECT row_id, 0.0::DOUBLE AS gap FROM (SELECT row_id, {_TEST_ROWS} AS split FROM order_features) WHERE split = 'test'"""))
+def e12_adds_up(spark, sf):
+    """For every test row, base value and Shapley values less the prediction."""
+    train, test = _parts(_order(spark, sf))
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, {"n_estimators": 100, "max_depth": 5}), LABEL)
+    shapped = tree_shap.tree_shap(model.model, model.transform(test).drop("features"), ORDER_COLS, train)
+    total = sum((F.col(f"shap_{c}") for c in ORDER_COLS), F.col("shap_base"))
+    return rounded(shapped.select("row_id", (total - F.col("prediction")).alias("gap")), ["gap"])
+
+
+_STUMP_STEPS = " UNION ALL ".join(f"SELECT a.row_id, k, b.f - a.f AS g, AVG(b.f - a.f) OVER () AS m FROM f{i} a JOIN f{i + 1} b USING (row_id), b{i}" for i in range(_STUMPS["n_estimators"]))
+
+
+@query("e12_tree_shap_stumps", with_views("order_features", f"""THEN {_stump_rounds()}
+SELECT row_id, {r('SUM(CASE WHEN k = 0 THEN g - m ELSE 0 END)', 5)} AS shap_tens, {r('SUM(CASE WHEN k = 1 THEN g - m ELSE 0 END)', 5)} AS shap_max_tax FROM ({_STUMP_STEPS}) GROUP BY row_id"""))
+def e12_stumps(spark, sf):
+    """Trees of one split are additive, so their Shapley values have a closed form."""
+    df = _order(spark, sf).withColumn("tens", F.floor(F.col("min_qty") / 10).cast("double"))
+    model = tuning.fit(df, Recipe("boost_regressor", _STUMP_COLS, _STUMPS), LABEL)
+    names = [f"shap_{c}" for c in _STUMP_COLS]
+    return rounded(tree_shap.tree_shap(model.model, df, list(_STUMP_COLS)).select("row_id", *names), names, 5)
+
+
 @query("e13_hidden_set")
 def e13(spark, sf):
     df = _order(spark, sf)
