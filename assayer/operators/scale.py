@@ -95,37 +95,76 @@ def yeo_johnson(v: Column, lam: float) -> Column:
     return F.when(v >= 0, up).otherwise(down)
 
 
-def _likelihoods(df: DataFrame, grids: dict[str, list[float]]) -> dict[tuple[str, float], float]:
-    """Gaussian log-likelihood of each column under each exponent; one job per chunk of columns."""
-    n_aggs = {}
-    for c, lams in grids.items():
+def _yeo_johnson_slope(v: Column, lam: float) -> Column:
+    """Derivative of the transform by its exponent."""
+    u = F.log1p(F.abs(v))
+    w = F.when(v >= 0, F.lit(lam)).otherwise(F.lit(2 - lam))
+    power = F.exp(w * u)
+    return F.when(w == 0, u * u / 2).otherwise((u * power * w - (power - 1)) / (w * w))
+
+
+def _slopes(df: DataFrame, points: dict[str, list[float]]) -> dict[tuple[str, float], float | None]:
+    """Slope of each column's Gaussian log-likelihood at each exponent, per row; null where numbers overflow."""
+    aggs = {}
+    for c, lams in points.items():
         v = q(c).cast("double")
-        n_aggs[f"n|{c}"] = F.count(v)
-        n_aggs[f"s|{c}"] = F.sum(F.signum(v) * F.log1p(F.abs(v)))
+        aggs[f"n|{c}"], aggs[f"s|{c}"] = F.count(v), F.sum(F.signum(v) * F.log1p(F.abs(v)))
         for lam in lams:
-            n_aggs[f"{lam!r}|{c}"] = F.var_pop(yeo_johnson(v, lam))
-    got = collect_aggs(df, n_aggs)
+            y = yeo_johnson(v, lam)
+            aggs[f"{lam!r}|v|{c}"], aggs[f"{lam!r}|d|{c}"] = F.var_pop(y), F.covar_pop(y, _yeo_johnson_slope(v, lam))
+    got = collect_aggs(df, aggs)
     out = {}
-    for c, lams in grids.items():
+    for c, lams in points.items():
         for lam in lams:
-            var = got[f"{lam!r}|{c}"]
-            if var:
-                out[c, lam] = -0.5 * got[f"n|{c}"] * math.log(var) + (lam - 1) * got[f"s|{c}"]
+            var, fall = got[f"{lam!r}|v|{c}"], got[f"{lam!r}|d|{c}"]
+            good = var is not None and fall is not None and math.isfinite(var) and math.isfinite(fall) and var > 0
+            out[c, lam] = got[f"s|{c}"] / got[f"n|{c}"] - fall / var if good else None
     return out
 
 
-def _yeo_johnson_fit(df: DataFrame, cols: list[str], rounds: tuple[float, ...] = (0.5, 0.1, 0.02)) -> dict:
-    """Exponent by maximum likelihood on a grid from -2 to 2 that is refined twice."""
-    centre = {c: 0.0 for c in cols}
-    reach = 2.0
-    for step in rounds:
-        half = round(reach / step)
-        grids = {c: [round(m + i * step, 6) for i in range(-half, half + 1)] for c, m in centre.items()}
-        score = _likelihoods(df, grids)
-        for c in cols:
-            ranked = [(score[c, lam], lam) for lam in grids[c] if (c, lam) in score]
-            centre[c] = max(ranked)[1] if ranked else 1.0
-        reach = step
+def _yeo_johnson_fit(df: DataFrame, cols: list[str], passes: int = 12) -> dict:
+    """Exponent of highest likelihood: where its slope, which falls, changes sign.
+
+    The bracket starts at -2 and 2 and doubles while the slope has one sign; then each pass tries the secant's point, its flanks
+    and a few even cuts of every column's bracket. A column of one value, or whose slope never turns within +-64, keeps the end
+    that it leans to (1 without spread).
+    """
+    reach, bracket, open_cols = 2.0, {}, list(cols)
+    while open_cols and reach <= 64:
+        grid = [reach * k / 4 for k in range(-4, 5)]
+        slope = _slopes(df, {c: grid for c in open_cols})
+        for c in list(open_cols):
+            known = [(lam, slope[c, lam]) for lam in grid if slope[c, lam] is not None]
+            if not known:
+                bracket[c] = ((1.0, 0.0), (1.0, 0.0))
+            elif known[0][1] > 0 >= known[-1][1]:
+                k = next(i for i, (_, s) in enumerate(known) if s <= 0)
+                bracket[c] = (known[k - 1], known[k])
+            elif reach >= 64 or len(known) < len(grid):
+                end = known[-1] if known[-1][1] > 0 else known[0]
+                bracket[c] = (end, end)
+            else:
+                continue
+            open_cols.remove(c)
+        reach *= 2
+    for _ in range(passes):
+        points = {}
+        for c, ((a, fa), (b, fb)) in bracket.items():
+            width = b - a
+            if width <= 1e-11 * max(1.0, abs(a)) or fb == 0:
+                continue
+            middle = a + width * fa / (fa - fb)
+            near = [middle - width * 1e-3, middle, middle + width * 1e-3, a + width / 3, b - width / 3]
+            points[c] = sorted({x for x in near if a < x < b})
+        points = {c: x for c, x in points.items() if x}
+        if not points:
+            break
+        slope = _slopes(df, points)
+        for c, tried in points.items():
+            ladder = [bracket[c][0], *((x, slope[c, x]) for x in tried if slope[c, x] is not None), bracket[c][1]]
+            k = next(i for i, (_, s) in enumerate(ladder) if i and s <= 0)
+            bracket[c] = (ladder[k - 1], ladder[k])
+    centre = {c: (a + (b - a) * fa / (fa - fb) if fa != fb else b) for c, ((a, fa), (b, fb)) in bracket.items()}
     aggs = {}
     for c in cols:
         t = yeo_johnson(q(c).cast("double"), centre[c])

@@ -324,13 +324,23 @@ def _yj(v: str, lam: str) -> str:
             f"ELSE CASE WHEN {lam} = 2 THEN -LN(1 - {v}) ELSE -(POW(1 - {v}, 2 - {lam}) - 1) / (2 - {lam}) END END")
 
 
-def _yj_round(name: str, before: str | None, step: float, half: int) -> str:
-    centre = f"(SELECT lam FROM {before})" if before else "0.0"
-    return f"""{name} AS (SELECT lam FROM (SELECT lam, -0.5 * COUNT(*) * LN(VAR_POP({_yj('value', 'lam')})) + (lam - 1) * SUM(SIGN(value) * LN(1 + ABS(value))) AS ll
-      FROM events, (SELECT ROUND(CAST({centre} AS DOUBLE) + (i - {half}) * CAST({step} AS DOUBLE), 6) AS lam FROM RANGE({2 * half + 1}) t(i)) GROUP BY lam) ORDER BY ll DESC, lam DESC LIMIT 1)"""
+def _yj_slope(name: str, lam: str) -> str:
+    """``name``: an exponent and the slope of the likelihood there."""
+    u, w = "LN(1 + ABS(value))", "CASE WHEN value >= 0 THEN lam ELSE 2 - lam END"
+    turn = f"CASE WHEN {w} = 0 THEN {u} * {u} / 2 ELSE ({u} * EXP({w} * {u}) * {w} - (EXP({w} * {u}) - 1)) / (({w}) * ({w})) END"
+    return f"""{name} AS MATERIALIZED (SELECT lam, SUM(SIGN(value) * {u}) / COUNT(*) - COVAR_POP({_yj('value', 'lam')}, {turn}) / VAR_POP({_yj('value', 'lam')}) AS s
+      FROM events, (SELECT {lam} AS lam) GROUP BY lam)"""
 
 
-@query("f06_yeo_johnson", "WITH " + ", ".join([_yj_round("l1", None, 0.5, 4), _yj_round("l2", "l1", 0.1, 5), _yj_round("l3", "l2", 0.02, 5)])
+def _yj_secant(steps: int = 12) -> str:
+    """The root of the slope by the secant rule from -0.5 and 0.5."""
+    parts = [_yj_slope("p0", "-0.5::DOUBLE"), _yj_slope("p1", "0.5::DOUBLE")]
+    for k in range(2, steps):
+        parts.append(_yj_slope(f"p{k}", f"(SELECT COALESCE(b.lam - b.s * (b.lam - a.lam) / NULLIF(b.s - a.s, 0), b.lam) FROM p{k - 2} a, p{k - 1} b)"))
+    return ", ".join(parts) + f", l3 AS (SELECT lam FROM p{steps - 1})"
+
+
+@query("f06_yeo_johnson", f"WITH {_yj_secant()}"
        + f", y AS (SELECT event_id, {_yj('value', 'lam')} AS y FROM events, l3) SELECT event_id, {r('(y - AVG(y) OVER ()) / STDDEV_POP(y) OVER ()', 5)} AS value FROM y")
 def f06(spark, sf):
     df = views.event_values(spark, sf)

@@ -53,6 +53,26 @@ def test_quantile_normal_is_monotone_and_bounded(spark):
     assert far[0] == pytest.approx(5.199, abs=1e-2) and far[1] == pytest.approx(-5.199, abs=1e-2) and np.isnan(far[2])
 
 
+@pytest.mark.parametrize("lam", [-6.0, -2.7, 0.4, 3.3, 9.0])
+def test_yeo_johnson_finds_far_exponents(spark, lam):
+    """Columns that a transform with this exponent makes normal."""
+    rng = np.random.default_rng(1)
+    y = rng.normal(size=4000) * (0.01 if lam < 0 else 0.5) + (0.1 if lam < 0 else 3.0)
+    x = (y * lam + 1) ** (1 / lam) - 1
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "one": 5.0, "minus": -x}))
+    found = scale.scale_fit(df, ["x", "one", "minus"], "yeo_johnson")["columns"]
+
+    def likelihood(a):
+        t = ((x + 1) ** a - 1) / a
+        return -0.5 * len(x) * np.log(t.var()) + (a - 1) * np.log1p(x).sum()
+
+    best = found["x"][0]
+    assert likelihood(best) >= max(likelihood(best + d) for d in (-0.01, 0.01, -1e-4, 1e-4, -1.0, 1.0)) - 1e-9
+    assert likelihood(best) >= likelihood(lam) - 1e-9
+    assert found["minus"][0] == pytest.approx(2 - best, abs=1e-6)  # the mirror image
+    assert found["one"][2] == 1.0
+
+
 def test_yeo_johnson_fits_the_best_exponent(spark):
     x = np.random.default_rng(0).lognormal(size=500)
     df = spark.createDataFrame(pd.DataFrame({"x": x}))
