@@ -139,7 +139,7 @@ def o10(spark, sf):
 @query("o12_outlier_bakeoff")
 def o12(spark, sf):
     df = _order(spark, sf)
-    recipe = Recipe("forest_classifier", FEW, {"n_estimators": 10, "max_depth": 5}, scaler="standard", fill="median")
+    recipe = Recipe("forest_classifier", FEW, _TREES, scaler="standard", fill="median")
     _, summaries = workflows.outlier_bakeoff(df, recipe, ORDER_COLS, LABEL, folds=3)
     return tuning.summary_table(df, summaries, "method")
 
@@ -252,15 +252,15 @@ def _predict_query(name: str, recipe: Recipe):
         return tuning.fit(train, recipe, LABEL).transform(test).select("row_id", LABEL, "prediction")
 
 
-_SMALL_TREES = {"n_estimators": 20, "max_depth": 5}
+_TREES = {"n_estimators": 100, "max_depth": 5}
 _predict_query("a01_ridge", Recipe("ridge", COLS, {"alpha": 1.0}, scaler="standard"))
 _predict_query("a02_elastic_net", Recipe("elastic_net", COLS, {"alpha": 0.05, "l1_ratio": 0.5}, scaler="standard"))
 _predict_query("a02_lasso", Recipe("lasso", COLS, {"alpha": 0.05}, scaler="standard"))
 _predict_query("a03_logistic", Recipe("logistic", COLS, {"C": 1.0, "max_iter": 30}, scaler="standard"))
 _predict_query("a03_logistic_elastic_net", Recipe("logistic", COLS, {"C": 1.0, "l1_ratio": 0.5, "max_iter": 20}, scaler="standard"))
-_predict_query("a04_forest_regressor", Recipe("forest_regressor", COLS, _SMALL_TREES))
-_predict_query("a05_forest_classifier", Recipe("forest_classifier", COLS, _SMALL_TREES))
-_predict_query("a05_forest_classifier_balanced", Recipe("forest_classifier", COLS, _SMALL_TREES, resampling="weights"))
+_predict_query("a04_forest_regressor", Recipe("forest_regressor", COLS, _TREES))
+_predict_query("a05_forest_classifier", Recipe("forest_classifier", COLS, _TREES))
+_predict_query("a05_forest_classifier_balanced", Recipe("forest_classifier", COLS, _TREES, resampling="weights"))
 _predict_query("a06_boost_regressor", Recipe("boost_regressor", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}))
 _predict_query("a07_boost_classifier", Recipe("boost_classifier", COLS, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}))
 _predict_query("a08_linear_svc", Recipe("linear_svc", COLS, {"C": 1.0, "max_iter": 10}, scaler="standard"))
@@ -327,7 +327,7 @@ def a07_invariants(spark, sf):
 
 
 def _forest_scores(df, cols=ORDER_COLS):
-    recipe = Recipe("forest_regressor", tuple(cols), _SMALL_TREES)
+    recipe = Recipe("forest_regressor", tuple(cols), _TREES)
     return models.importances(tuning.fit(df, recipe, LABEL).model, list(cols))
 
 
@@ -390,8 +390,8 @@ def l09(spark, sf):
 @query("l10_permutation_importance")
 def l10(spark, sf):
     train, test = _parts(_order(spark, sf))
-    model = tuning.fit(train, Recipe("forest_regressor", COLS, _SMALL_TREES), LABEL)
-    return explain.permutation_importance(model.transform, test, ORDER_COLS, LABEL, repeats=3)
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, _TREES), LABEL)
+    return explain.permutation_importance(model.transform, test, ORDER_COLS, LABEL, repeats=10)
 
 
 def _shuffled_sql(repeat: int) -> str:
@@ -448,7 +448,7 @@ def l17(spark, sf):
 @query("l19_selection_bakeoff")
 def l19(spark, sf):
     df = _order(spark, sf)
-    recipe = Recipe("forest_classifier", FEW, {"n_estimators": 10, "max_depth": 5}, scaler="standard", fill="median")
+    recipe = Recipe("forest_classifier", FEW, _TREES, scaler="standard", fill="median")
     _, summaries, _ = workflows.selection_bakeoff(df, recipe, ORDER_COLS, LABEL, folds=3, top_n=3)
     return tuning.summary_table(df, summaries, "method")
 
@@ -524,7 +524,7 @@ def g01(spark, sf):
 @query("g02_random_search")
 def g02(spark, sf):
     df = _order(spark, sf)
-    return _search_table(df, tuning.random_search(df, Recipe("elastic_net", COLS), tuning.SPACES["elastic_net"], LABEL, n=4))
+    return _search_table(df, tuning.random_search(df, Recipe("elastic_net", COLS), tuning.SPACES["elastic_net"], LABEL, n=10))
 
 
 @query("g03_space_search")
@@ -550,7 +550,7 @@ def g05(spark, sf):
 
     df = cut_lineage(views.order_features(spark, sf).select("row_id", LABEL, *[F.expr(e).alias(n) for n, e in DOMAIN.items()]))
     train, test = _parts(df)
-    found = workflows.auto_optimize(train, list(DOMAIN), LABEL, {"ridge": {"alpha": [0.1, 1.0, 10.0]}}, bundle="ratios_and_logs", sizes=(5, 10), draws=2, folds=3, trees=10)
+    found = workflows.auto_optimize(train, list(DOMAIN), LABEL, {"ridge": {"alpha": [0.1, 1.0, 10.0]}}, bundle="ratios_and_logs", sizes=(5, 10), draws=2, folds=3, trees=100)
     ready = derive.bundle(test, "ratios_and_logs")
     return found["model"].transform(ready).select("row_id", LABEL, "prediction")
 
@@ -559,8 +559,8 @@ def g05(spark, sf):
 def g07(spark, sf):
     train, test = _parts(_order(spark, sf))
     recipes = {
-        "regression": Recipe("forest_regressor", FEW, _SMALL_TREES), "regression_resampled": Recipe("forest_regressor", FEW, _SMALL_TREES, resampling="smote_tomek"),
-        "classification": Recipe("forest_classifier", FEW, _SMALL_TREES), "classification_balanced": Recipe("forest_classifier", FEW, _SMALL_TREES, resampling="weights"),
+        "regression": Recipe("forest_regressor", FEW, _TREES), "regression_resampled": Recipe("forest_regressor", FEW, _TREES, resampling="smote_tomek"),
+        "classification": Recipe("forest_classifier", FEW, _TREES), "classification_balanced": Recipe("forest_classifier", FEW, _TREES, resampling="weights"),
     }
     return workflows.experiment(train, test, recipes, LABEL)
 
@@ -585,14 +585,14 @@ def e12(spark, sf):
 @query("e12_sampled_shapley")
 def e12_tree(spark, sf):
     train, test = _parts(_order(spark, sf))
-    model = tuning.fit(train, Recipe("forest_regressor", COLS, _SMALL_TREES), LABEL)
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, _TREES), LABEL)
     return explain.sampled_shapley(model.transform, test, ORDER_COLS, permutations=4)
 
 
 @query("e12_tree_shap")
 def e12_forest(spark, sf):
     train, test = _parts(_order(spark, sf))
-    model = tuning.fit(train, Recipe("forest_regressor", COLS, {"n_estimators": 100, "max_depth": 5}), LABEL)
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, _TREES), LABEL)
     return tree_shap.shap_summary(tree_shap.tree_shap(model.model, test, ORDER_COLS, train), ORDER_COLS)
 
 
@@ -600,7 +600,7 @@ def e12_forest(spark, sf):
 def e12_adds_up(spark, sf):
     """For every test row, base value and Shapley values less the prediction."""
     train, test = _parts(_order(spark, sf))
-    model = tuning.fit(train, Recipe("forest_regressor", COLS, {"n_estimators": 100, "max_depth": 5}), LABEL)
+    model = tuning.fit(train, Recipe("forest_regressor", COLS, _TREES), LABEL)
     shapped = tree_shap.tree_shap(model.model, model.transform(test).drop("features"), ORDER_COLS, train)
     total = sum((F.col(f"shap_{c}") for c in ORDER_COLS), F.col("shap_base"))
     return rounded(shapped.select("row_id", (total - F.col("prediction")).alias("gap")), ["gap"])
@@ -626,11 +626,11 @@ def e13(spark, sf):
     seen = df.join(hidden.select("row_id"), "row_id", "left_anti")
     made = [derive.pair_products(x, ["sum_qty", "min_qty"]) for x in (seen, hidden)]
     cols = (*COLS, "sum_qty_mul_min_qty", "sum_qty_div_min_qty")
-    predicted = tuning.fit(made[0], Recipe("forest_regressor", cols, _SMALL_TREES, scaler="standard"), LABEL).transform(made[1])
+    predicted = tuning.fit(made[0], Recipe("forest_regressor", cols, _TREES, scaler="standard"), LABEL).transform(made[1])
     errors = evaluate.regression_metrics(predicted, LABEL, "prediction").drop("n")
     return errors.join(evaluate.accuracy(predicted, LABEL, "prediction"), how="cross")  # one row each
 
 
 @query("w01_rank_and_fit")
 def w01(spark, sf):
-    return workflows.rank_and_fit(_order(spark, sf), ORDER_COLS, LABEL, n_features=4, trees=10)["metrics"]
+    return workflows.rank_and_fit(_order(spark, sf), ORDER_COLS, LABEL, n_features=4, trees=100)["metrics"]
