@@ -61,7 +61,7 @@ class Simplex:
             if len(chosen) == most:
                 break
             apex = self.apex(candidate[None])[0]
-            if apex[-1] ** 2 > 1e-4 * scale:
+            if apex[-1] ** 2 > 1e-3 * scale:
                 rows = np.vstack([np.hstack([rows, np.zeros((len(rows), 1))]), apex])
                 chosen.append(candidate)
                 self.points, self.corner = np.array(chosen), rows
