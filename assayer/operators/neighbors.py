@@ -6,6 +6,11 @@ on its k-th distance; it then visits only the boxes that its ball touches.
 Boxes that hold many rows, or that many queries visit, are worked off in blocks,
 so no task ever sees more than one block of points and one of queries. Copies of
 one vector are cut to the few that can be among the neighbours before the join.
+
+In many dimensions boxes and bounds use a shorter image of each vector: its
+coordinates on the leading principal axes and its distance from the space they
+span. Images never lie further apart than the vectors, so whatever they rule out
+is ruled out, and the distances of what is left are exact.
 """
 
 from __future__ import annotations
@@ -28,45 +33,70 @@ BUNDLE = 128           # boxes that are first tested as one larger box
 MAX_LEAVES = 16_384    # boxes over all groups; their bounds are sent to every task
 SAMPLE_PER_LEAF = 32
 GROUP_LIMIT = 10_000
+AXES = 12              # principal axes of an image; vectors up to this length are their own image
+ROUNDING = 1e-12       # slack of bounds, as a share of the largest coordinate
 
 
 def knn_join(
     queries: DataFrame, points: DataFrame, cols: list[str], k: int, row_id: str = "row_id",
-    by: str | None = None, exclude_self: bool = False, leaf_rows: int = LEAF_ROWS,
+    by: str | None = None, exclude_self: bool = False, leaf_rows: int = LEAF_ROWS, carry: Column | None = None,
 ) -> DataFrame:
     """``<row_id>, neighbor, distance, rank`` of the ``k`` nearest points of every query row.
 
     With ``by`` only points of the same group count. Ties go to the smaller id.
     Rows with a null, NaN or infinite coordinate are no neighbours and have none.
+    ``carry``, an array of doubles over the points, comes along as a column of that
+    name; a join on ``neighbor`` afterwards would send a pile of copies to one task.
     """
-    raw = _prepare(points, cols, row_id, by)
-    trees = _build_trees(raw, len(cols), leaf_rows)
-    leaf_of = _leaf_udf(trees)
+    raw = _prepare(points, cols, row_id, by, F.array().cast("array<double>") if carry is None else carry)
+    trees, image = _build_trees(raw, len(cols), leaf_rows)
+    leaf_of, image_of = _leaf_udf(trees), _image_udf(image)
     # Of equal vectors only the k + 1 smallest ids can matter; the filter on the
     # row number is applied before the shuffle as well, so copies do not pile up.
     same_vector = Window.partitionBy("g", "v").orderBy("id")
     p = raw.withColumn("__n", F.row_number().over(same_vector)).filter(F.col("__n") <= k + 1).drop("__n")
-    p = cut_lineage(p.withColumn("leaf", leaf_of("g", "v")))
-    boxes = _boxes(p, len(cols))
-    qs = _prepare(queries, cols, row_id, by).withColumn("leaf", leaf_of("g", "v")).filter("leaf >= 0")
-    found = _block_join(qs, p, boxes, k, exclude_self)
+    p = cut_lineage(p.withColumn("w", image_of("v")).withColumn("leaf", leaf_of("g", "w")))
+    boxes = _boxes(p, image.width if image else len(cols))
+    qs = _prepare(queries, cols, row_id, by).withColumn("w", image_of("v")).withColumn("leaf", leaf_of("g", "w")).filter("leaf >= 0")
+    found = _block_join(qs.withColumn("d2", F.lit(float("inf"))), p, boxes, k, exclude_self)
     if len(boxes) > len(trees):
         found = cut_lineage(found)
         reach = found.groupBy("qid").agg(F.max("d2").alias("far"), F.count(F.lit(1)).alias("have"))
         wide = qs.join(reach, qs.id == reach.qid, "left").withColumn(
             "d2", F.when(F.col("have") >= k, F.col("far")).otherwise(F.lit(float("inf"))))
         visit = _visit_udf(trees, boxes)
-        guests = cut_lineage(wide.select("g", "id", "v", F.explode(visit("g", "v", "leaf", "d2")).alias("leaf")))
+        guests = cut_lineage(wide.select("g", "id", "v", "w", "d2", F.explode(visit("g", "w", "leaf", "d2")).alias("leaf")))
         found = _top_k(found.unionByName(_block_join(guests, p, boxes, k, exclude_self)), k)
     ranked = Window.partitionBy("qid").orderBy("d2", "neighbor")
     return found.select(
-        F.col("qid").alias(row_id), "neighbor", F.sqrt("d2").alias("distance"), F.row_number().over(ranked).alias("rank"))
+        F.col("qid").alias(row_id), "neighbor", F.sqrt("d2").alias("distance"), F.row_number().over(ranked).alias("rank"),
+        *([] if carry is None else [F.col("c").alias("carry")]))
 
 
-def _prepare(df: DataFrame, cols: list[str], row_id: str, by: str | None) -> DataFrame:
+def _prepare(df: DataFrame, cols: list[str], row_id: str, by: str | None, carry: Column | None = None) -> DataFrame:
     group = F.col(by).cast("string") if by else F.lit("")
     return df.filter(complete(cols)).select(
-        group.alias("g"), F.col(row_id).alias("id"), F.array(*[q(c).cast("double") for c in cols]).alias("v"))
+        group.alias("g"), F.col(row_id).alias("id"), F.array(*[q(c).cast("double") for c in cols]).alias("v"),
+        *([] if carry is None else [carry.alias("c")]))
+
+
+class Image:
+    """Vectors on the leading principal axes of a sample, and the length of what the axes leave out.
+
+    By the triangle inequality two vectors are at least as far apart as their images. The sample affects work only.
+    """
+
+    def __init__(self, sample: np.ndarray) -> None:
+        self.mean = sample.mean(axis=0)
+        _, vectors = np.linalg.eigh(np.cov(sample - self.mean, rowvar=False))
+        self.axes = vectors[:, ::-1][:, :AXES]
+        self.width = self.axes.shape[1] + 1
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        z = x - self.mean
+        lead = z @ self.axes
+        rest = z - lead @ self.axes.T
+        return np.column_stack([lead, np.sqrt((rest * rest).sum(axis=1))])
 
 
 def complete(cols: list[str]) -> Column:
@@ -79,7 +109,8 @@ def _top_k(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("__n", F.row_number().over(nearest)).filter(F.col("__n") <= k).drop("__n")
 
 
-def _build_trees(p: DataFrame, dims: int, leaf_rows: int) -> dict:
+def _build_trees(p: DataFrame, dims: int, leaf_rows: int) -> tuple[dict, Image | None]:
+    """A tree per group over the images of a sample, and how to form images; None where vectors are short or none were drawn."""
     sizes = {r["g"]: r["count"] for r in p.groupBy("g").count().limit(GROUP_LIMIT + 1).collect()}
     if len(sizes) > GROUP_LIMIT:
         raise ValueError(f"more than {GROUP_LIMIT} groups in a nearest-neighbour join")
@@ -94,13 +125,16 @@ def _build_trees(p: DataFrame, dims: int, leaf_rows: int) -> dict:
         drawn = p.filter(hash_uniform(row_hash("tree", "id")) < F.try_element_at(share, F.col("g"))).select("g", "v")
         for r in drawn.collect():
             samples.setdefault(r["g"], []).append(r["v"])
+    every = [v for part in samples.values() for v in part]
+    image = Image(np.array(every, dtype=float)) if dims > AXES and len(every) > 1 else None
     trees, offset = {}, 0
     for g, w in wanted.items():
-        tree = _kd_tree(np.array(samples.get(g, []), dtype=float).reshape(-1, dims), w)
+        drawn = np.array(samples.get(g, []), dtype=float).reshape(-1, dims)
+        tree = _kd_tree(image.of(drawn) if image else drawn, w)
         tree["offset"] = offset
         offset += tree["leaves"]
         trees[g] = tree
-    return trees
+    return trees, image
 
 
 def _kd_tree(sample: np.ndarray, leaves: int) -> dict:
@@ -143,6 +177,17 @@ def _matrix(v: pd.Series) -> np.ndarray:
     return np.stack(v.to_numpy()) if len(v) else np.zeros((0, 0))
 
 
+def _image_udf(image: Image | None):
+    if image is None:
+        return F.col
+
+    @F.pandas_udf("array<double>")
+    def image_of(v: pd.Series) -> pd.Series:
+        return pd.Series(list(image.of(_matrix(v)))) if len(v) else pd.Series([], dtype=object)
+
+    return image_of
+
+
 def _leaf_udf(trees: dict):
     @F.pandas_udf("int")
     def leaf_of(g: pd.Series, v: pd.Series) -> pd.Series:
@@ -158,8 +203,8 @@ def _leaf_udf(trees: dict):
 
 def _boxes(p: DataFrame, dims: int) -> dict[int, tuple[int, list, list]]:
     """Row count, lower and upper corner of the points in each leaf (at most MAX_LEAVES rows)."""
-    lows = F.array(*[F.min(F.col("v")[i]) for i in range(dims)])
-    highs = F.array(*[F.max(F.col("v")[i]) for i in range(dims)])
+    lows = F.array(*[F.min(F.col("w")[i]) for i in range(dims)])
+    highs = F.array(*[F.max(F.col("w")[i]) for i in range(dims)])
     rows = p.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), lows.alias("lo"), highs.alias("hi")).collect()
     return {r["leaf"]: (r["n"], r["lo"], r["hi"]) for r in rows}
 
@@ -173,8 +218,8 @@ def _visit_udf(trees: dict, boxes: dict):
     @F.pandas_udf("array<int>")
     def visit(g: pd.Series, v: pd.Series, leaf: pd.Series, d2: pd.Series) -> pd.Series:
         x, own = _matrix(v), leaf.to_numpy()
-        # A hair of slack: rounding must never hide a box that touches the ball.
-        reach = d2.to_numpy() * (1 + 1e-9)
+        size = max((np.abs(corner).max() for _, corner in by_group.values() if len(corner)), default=0.0)
+        reach = _slack(d2.to_numpy(), x, size)
         out = [[] for _ in range(len(g))]
         for name, rows in g.groupby(g, dropna=False).indices.items():
             ids, corner = by_group[name]
@@ -193,6 +238,12 @@ def _visit_udf(trees: dict, boxes: dict):
     return visit
 
 
+def _slack(d2: np.ndarray, x: np.ndarray, size: float) -> np.ndarray:
+    """A little more than ``d2``: rounding of bounds must never hide what the ball touches."""
+    most = np.maximum(np.abs(x).max(axis=1), size) if x.size else np.zeros(len(d2))
+    return (np.sqrt(d2) * (1 + 1e-9) + ROUNDING * most) ** 2
+
+
 def _gap(x: np.ndarray, corner: np.ndarray) -> np.ndarray:
     """Squared distance of every row to every box (0 inside)."""
     gap = np.zeros((len(x), len(corner)))
@@ -217,46 +268,81 @@ def _block_join(qs: DataFrame, p: DataFrame, boxes: dict, k: int, exclude_self:
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = qs.join(parts, "leaf").withColumn("qb", block("q_blocks")).withColumn("pb", every("p_blocks")).select("leaf", "qb", "pb", "id", "v")
-    right = p.join(parts, "leaf").withColumn("pb", block("p_blocks")).withColumn("qb", every("q_blocks")).select("leaf", "qb", "pb", "id", "v")
+    left = qs.join(parts, "leaf").withColumn("qb", block("q_blocks")).withColumn("pb", every("p_blocks")).select("leaf", "qb", "pb", "id", "v", "w", "d2")
+    right = p.join(parts, "leaf").withColumn("pb", block("p_blocks")).withColumn("qb", every("q_blocks")).select("leaf", "qb", "pb", "id", "v", "w", "c")
     keys = ["leaf", "qb", "pb"]
 
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"qid": [], "neighbor": [], "d2": []})
+            return pd.DataFrame({"qid": [], "neighbor": [], "d2": [], "c": []})
         b = b.sort_values("id")
-        return _nearest(a["id"].to_numpy(), _matrix(a["v"]), b["id"].to_numpy(), _matrix(b["v"]), k, exclude_self)
+        qid, pid, carried = a["id"].to_numpy(), b["id"].to_numpy(), b["c"].to_numpy()
+        rows, places, d2 = _nearest(qid, _matrix(a["v"]), _matrix(a["w"]), a["d2"].to_numpy(), pid, _matrix(b["v"]), _matrix(b["w"]), k, exclude_self)
+        return pd.DataFrame({"qid": qid[rows], "neighbor": pid[places], "d2": d2, "c": carried[places]})
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, f"qid {id_type}, neighbor {id_type}, d2 double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        nearest, f"qid {id_type}, neighbor {id_type}, d2 double, c array<double>")
     return _top_k(found, k) if many else found
 
 
-def _nearest(qid, x, pid, y, k, exclude_self) -> pd.DataFrame:
-    """``pid`` ascends, so the column order breaks ties."""
+def _nearest(qid, x, wx, far, pid, y, wy, k, exclude_self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, squared distance) of the ``k`` nearest at most ``far`` away; ``pid`` ascends, so rows of y break ties."""
     take_q, take_p, take_d = [], [], []
     kk = min(k, len(pid))
     for start in range(0, len(qid), 256):
-        part = slice(start, start + 256)
-        dist = np.zeros((len(qid[part]), len(pid)))
-        for d in range(x.shape[1]):
-            dist += (x[part, d][:, None] - y[:, d][None, :]) ** 2
-        if exclude_self:
-            dist[qid[part][:, None] == pid[None, :]] = np.inf
-        kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
-        r, c = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
-        order = np.lexsort((c, dist[r, c], r))
-        r, c = r[order], c[order]
-        place = np.arange(len(r)) - np.searchsorted(r, r)
-        keep = place < k
-        take_q.append(qid[part][r[keep]])
-        take_p.append(pid[c[keep]])
-        take_d.append(dist[r[keep], c[keep]])
-    return pd.DataFrame({"qid": np.concatenate(take_q), "neighbor": np.concatenate(take_p), "d2": np.concatenate(take_d)})
+        part = slice(start, min(start + 256, len(qid)))
+        own = qid[part][:, None] == pid[None, :] if exclude_self else None
+        r, c = _candidates(x[part], wx[part], far[part], y, wy, kk, own)
+        if r is None or 4 * len(r) > len(far[part]) * len(y):  # most pairs are left: whole columns are faster
+            dist = _distances(x[part], y)
+            if own is not None:
+                dist[own] = np.inf
+            limit = np.minimum(np.partition(dist, kk - 1, axis=1)[:, kk - 1], far[part])
+            r, c = np.nonzero((dist <= limit[:, None]) & np.isfinite(dist))
+            d2 = dist[r, c]
+        else:
+            d2 = np.zeros(len(r))
+            for d in range(x.shape[1]):
+                d2 += (x[start + r, d] - y[c, d]) ** 2
+            near = (d2 <= far[start + r]) & np.isfinite(d2)
+            r, c, d2 = r[near], c[near], d2[near]
+        order = np.lexsort((c, d2, r))
+        r, c, d2 = r[order], c[order], d2[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+        take_q.append(start + r[keep])
+        take_p.append(c[keep])
+        take_d.append(d2[keep])
+    return np.concatenate(take_q), np.concatenate(take_p), np.concatenate(take_d)
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    dist = np.zeros((len(x), len(y)))
+    for d in range(x.shape[1]):
+        dist += (x[:, d][:, None] - y[:, d][None, :]) ** 2
+    return dist
+
+
+def _candidates(x, wx, far, y, wy, kk, own) -> tuple:
+    """Pairs that the images leave open: the ``kk`` nearest images of a row give it a first distance that the others must reach.
+
+    (None, None) where vectors are their own images.
+    """
+    if wx.shape[1] >= x.shape[1]:
+        return None, None
+    low = _distances(wx, wy)
+    if own is not None:
+        low[own] = np.inf
+    first = np.argpartition(low, kk - 1, axis=1)[:, :kk]
+    exact = np.stack([((x - y[first[:, j]]) ** 2).sum(axis=1) for j in range(kk)], axis=1)
+    exact[~np.isfinite(np.take_along_axis(low, first, axis=1))] = np.inf
+    limit = _slack(np.minimum(exact.max(axis=1), far), x, np.abs(y).max())
+    return np.nonzero((low <= limit[:, None]) & np.isfinite(low))
 
 
 def knn_regress(train: DataFrame, test: DataFrame, cols: list[str], label: str, k: int = 5, row_id: str = "row_id") -> DataFrame:
     """``test`` with ``prediction``: the mean label of the ``k`` nearest training rows, null where a coordinate is missing."""
-    near = knn_join(test, train, cols, k, row_id)
-    labels = train.select(F.col(row_id).alias("neighbor"), F.col(label).cast("double").alias("__y"))
-    means = near.join(labels, "neighbor").groupBy(row_id).agg(F.avg("__y").alias("prediction"))
+    y = F.col(label).cast("double")
+    # The second number tells a missing label from NaN.
+    near = knn_join(test, train, cols, k, row_id, carry=F.array(F.coalesce(y, F.lit(0.0)), y.isNotNull().cast("double")))
+    means = near.groupBy(row_id).agg(F.avg(F.when(F.col("carry")[1] == 1, F.col("carry")[0])).alias("prediction"))
     return test.join(means, row_id, "left")

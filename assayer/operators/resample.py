@@ -78,12 +78,12 @@ def smote(df: DataFrame, row_id: str, cols: list[str], label: str, k: int = 5, s
     if not need:
         return original
     small = base.filter(F.col(label).isin(list(need)) & complete(cols))
-    near = knn_join(small, small, cols, k, row_id, by=label, exclude_self=True).select(F.col(row_id).alias("__base"), "neighbor", "rank")
+    vector = F.array(*[q(c) for c in cols])
+    near = knn_join(small, small, cols, k, row_id, by=label, exclude_self=True, carry=vector).withColumnsRenamed({row_id: "__base", "carry": "__v"})
     turns = F.create_map(*[x for c, n in need.items() for x in (F.lit(c), F.struct(F.lit(n // sizes[c]).alias("all"), F.lit(n % sizes[c]).alias("first")))])
     ranked = hash_rank(small, [row_id], seed, by=label, out="__rank").withColumn("__t", turns[F.col(label)])
-    # Neighbours are joined to the base rows, k at most each; copies are made last and are not shuffled.
-    other = small.select(F.col(row_id).alias("neighbor"), F.array(*[q(c) for c in cols]).alias("__v"))
-    around = near.join(other, "neighbor").groupBy("__base").agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor", "__v"))).alias("__near"))
+    # The search brings the neighbours' vectors along, k at most a row; copies are made last and are not shuffled.
+    around = near.groupBy("__base").agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor", "__v"))).alias("__near"))
     based = ranked.join(around, F.col(row_id) == F.col("__base"))
     times = F.col("__t.all") + F.when(F.col("__rank") <= F.col("__t.first"), 1).otherwise(0)
     most = max(n // sizes[c] + 1 for c, n in need.items())

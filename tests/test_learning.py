@@ -253,3 +253,50 @@ def test_smote_reaches_the_size_with_missing_values_and_chunks(spark, monkeypatc
     pd.testing.assert_frame_equal(whole.sort_values(key).reset_index(drop=True), again.sort_values(key).reset_index(drop=True))
     chunked = resample.random_oversample(df, "row_id", "y").toPandas()
     pd.testing.assert_frame_equal(repeated.sort_values(key).reset_index(drop=True), chunked.sort_values(key).reset_index(drop=True))
+
+
+def _clustered(rows, dims, inner, seed):
+    """Vectors near a plane of ``inner`` dimensions, turned at random, with copies and a little noise."""
+    rng = np.random.default_rng(seed)
+    turn, _ = np.linalg.qr(rng.normal(size=(dims, dims)))
+    x = np.zeros((rows, dims))
+    x[:, :inner] = rng.normal(size=(rows, inner)) * 5 + rng.integers(0, 4, (rows, 1)) * 20
+    x = (x + rng.normal(size=x.shape) * 0.01) @ turn
+    x[rows // 2 : rows // 2 + 40] = x[0]
+    return x
+
+
+@pytest.mark.parametrize("inner", [3, 24])
+def test_knn_join_in_many_dimensions_equals_brute_force(spark, monkeypatch, inner):
+    monkeypatch.setattr(neighbors, "BLOCK", 300)
+    x = _clustered(900, 24, inner, inner)
+    cols = [f"d{i}" for i in range(24)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=cols).assign(row_id=np.arange(900)))
+    got = neighbors.knn_join(df, df, cols, 3, exclude_self=True, leaf_rows=100, carry=F.array("d0")).toPandas().sort_values(["row_id", "rank"])
+    d2 = neighbors._distances(x, x)
+    np.fill_diagonal(d2, np.inf)
+    want = np.lexsort((np.broadcast_to(np.arange(900), d2.shape), d2), axis=1)[:, :3]
+    assert (got["neighbor"].to_numpy().reshape(-1, 3) == want).all()
+    assert np.allclose([c[0] for c in got["carry"]], x[got["neighbor"], 0])
+
+
+def test_images_rule_out_most_pairs_and_lose_none():
+    x = _clustered(2000, 64, 4, 1)
+    image = neighbors.Image(x[::4])
+    w = image.of(x)
+    low, d2 = neighbors._distances(w, w), neighbors._distances(x, x)
+    assert w.shape[1] == neighbors.AXES + 1 and (np.sqrt(low) <= np.sqrt(d2) + 1e-9).all()
+    r, c = neighbors._candidates(x, w, np.full(2000, np.inf), x, w, 5, np.eye(2000, dtype=bool))
+    assert len(r) < 0.05 * d2.size
+    np.fill_diagonal(d2, np.inf)
+    fifth = np.partition(d2, 4, axis=1)[:, 4]
+    open_pairs = np.zeros(d2.shape, bool)
+    open_pairs[r, c] = True
+    assert open_pairs[d2 <= fifth[:, None]].all()
+
+
+def test_knn_regress_with_a_pile_of_copies_and_missing_labels(spark):
+    rows = [(i, 1.0, float(i) if i != 2 else None) for i in range(50)] + [(50, 9.0, 7.0)]
+    df = spark.createDataFrame(rows, "row_id long, x double, y double")
+    got = {r["row_id"]: r["prediction"] for r in neighbors.knn_regress(df, df, ["x"], "y", 3).collect()}
+    assert got[0] == got[49] == 0.5  # ids 0, 1 and 2, the last without a label
