@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import column_quantiles
-from ..functions.ranks import running_total
+from ..functions.ranks import cut_points, dense_positions, running_total
 from .derive import to_class
 
-AUC_SLICES = 64
-
 
 def regression_aggs(label: str, prediction: str) -> dict[str, Column]:
     error = F.col(label) - F.col(prediction)
@@ -31,13 +29,18 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
                   F.avg(hit.cast("double")).alias("accuracy"))
 
 
+def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """``label, prediction, n`` of the pairs of classes that occur; the report and kappa need no more."""
+    return df.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """``label, prediction, n, share`` for every pair of classes, empty ones included.
 
-    ``share`` is the part of the label's row. All later steps work on this table
-    of classes x classes.
+    ``share`` is the part of the label's row. The table has classes x classes rows;
+    ``confusion_counts`` is the one for many classes.
     """
-    counts = df.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+    counts = confusion_counts(df, label, prediction)
     classes = counts.agg(F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("c"))
     grid = classes.select(F.explode("c").alias("label"), "c").select("label", F.explode("c").alias("prediction"))
     full = grid.join(counts, ["label", "prediction"], "left").fillna(0, ["n"])
@@ -54,11 +57,15 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: list[i
 
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """``label, precision, recall, f1, support``; a 0 / 0 counts as 0."""
-    cells = confusion(df, label, prediction)
-    as_label = cells.groupBy("label").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"))
-    as_pred = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("predicted"))
+    none, n = F.lit(0).cast("bigint"), F.when(F.col("label").isNotNull() & F.col("prediction").isNotNull(), F.col("n")).otherwise(0)
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    sides = F.inline(F.array(
+        F.struct(F.col("label").alias("class"), n.alias("support"), hit.alias("hits"), none.alias("predicted")),
+        F.struct(F.col("prediction").alias("class"), none.alias("support"), none.alias("hits"), n.alias("predicted"))))
+    table = confusion_counts(df, label, prediction).select(sides).filter("class is not null").groupBy(F.col("class").alias("label")).agg(
+        *[F.sum(c).alias(c) for c in ("support", "hits", "predicted")])
     zero = F.lit(0.0)
-    table = as_label.join(as_pred, "label").withColumns({
+    table = table.withColumns({
         "precision": F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("predicted")), zero),
         "recall": F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("support")), zero),
     })
@@ -76,19 +83,28 @@ def report_averages(report: DataFrame) -> DataFrame:
 
 
 def qwk(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Quadratic weighted kappa; the weights use positions in the sorted union of classes."""
-    cells = confusion(df, label, prediction)
-    whole = Window.partitionBy()
-    placed = cells.withColumns({
-        "i": F.dense_rank().over(Window.partitionBy().orderBy("label")),
-        "j": F.dense_rank().over(Window.partitionBy().orderBy("prediction")),
-        "row": F.sum("n").over(Window.partitionBy("label")),
-        "col": F.sum("n").over(Window.partitionBy("prediction")),
-        "total": F.sum("n").over(whole),
-    })
-    w = F.pow((F.col("i") - F.col("j")).cast("double"), F.lit(2))
-    expected = F.col("row").cast("double") * F.col("col") / F.col("total")
-    return placed.agg((1 - F.try_divide(F.sum(w * F.col("n")), F.sum(w * expected))).alias("qwk"))
+    """Quadratic weighted kappa; the weights use positions in the sorted union of classes.
+
+    Chance disagreement over all pairs of classes is n times the two variances of position and the squared
+    difference of their means, so the pairs that occur suffice.
+    """
+    counts = confusion_counts(df, label, prediction)
+    classes = counts.select(F.explode(F.array("label", "prediction")).alias("class")).filter("class is not null").distinct()
+    places = dense_positions(classes, "class", "place")
+    cells = counts.join(places.toDF("label", "i"), "label").join(places.toDF("prediction", "j"), "prediction")
+
+    def mean(c):
+        return F.sum(F.col("n") * F.col(c)) / F.sum("n")
+
+    centre = cells.agg(F.sum("n").alias("total"), mean("i").alias("mi"), mean("j").alias("mj"))
+
+    def spread(c, m):
+        return F.sum(F.col("n") * F.pow(F.col(c) - F.col(m), F.lit(2)))
+
+    both = cells.join(F.broadcast(centre), how="cross")  # one row
+    between = F.max("total") * F.pow(F.max("mi") - F.max("mj"), F.lit(2))
+    seen = F.sum(F.col("n") * F.pow(F.col("i") - F.col("j"), F.lit(2)))
+    return both.agg((1 - F.try_divide(seen, spread("i", "mi") + spread("j", "mj") + between)).alias("qwk"))
 
 
 def qwk_regression(df: DataFrame, label: str, prediction: str, limits: tuple[int, int] | None = None) -> DataFrame:
@@ -103,7 +119,8 @@ def auc_per_class(df: DataFrame, label: str, proba: dict[int, str], digits: int
     """``label, n_pos, n_neg, auc`` one-versus-rest, ties counted half.
 
     Rows are merged per class and score first; the running count of negatives
-    below a score is then formed slice by slice of the score range.
+    below a score is then formed slice by slice of each class's scores, in as many
+    slices as its rows call for.
     """
     spots = df.select(F.col(label).alias("y"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(p).alias("s")) for c, p in proba.items()
@@ -111,9 +128,8 @@ def auc_per_class(df: DataFrame, label: str, proba: dict[int, str], digits: int
     if digits is not None:
         spots = spots.withColumn("s", F.round("s", digits))
     merged = spots.groupBy("c", "s").agg(F.count_if("pos").alias("pos"), F.count_if(~F.col("pos")).alias("neg"))
-    cuts = df.select(F.explode(F.array(*proba.values())).alias("s")).agg(
-        F.percentile_approx("s", [i / AUC_SLICES for i in range(1, AUC_SLICES)], 256).alias("q")).first()["q"]
-    ranked = running_total(merged, "s", "neg", sorted(set(cuts or [])), by="c", out="neg_below")
+    cuts = cut_points(df, {c: F.col(p).cast("double") for c, p in proba.items()})
+    ranked = running_total(merged, "s", "neg", cuts, by="c", out="neg_below")
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     table = ranked.groupBy(F.col("c").alias("label")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), won.alias("won"))
     auc = F.try_divide(F.col("won"), F.col("n_pos").cast("double") * F.col("n_neg"))

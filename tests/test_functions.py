@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions import quantiles
 from assayer.functions.quantiles import column_quantiles
+from assayer.functions import ranks
 from assayer.functions.ranks import hash_rank, running_total
 from assayer.functions.stats import corr_values, gram
 from assayer.operators.iforest import mean_path
@@ -108,3 +109,26 @@ def test_gram_paths_agree(spark, monkeypatch):
 
 def test_mean_path_grows():
     assert mean_path(1) == 0 and mean_path(2) == 1.0 and 10 < mean_path(256) < 11
+
+
+def test_running_total_by_group_with_cuts_of_its_own(spark):
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame([(g, float(k), int(rng.integers(0, 5))) for g in ("a", "b") for k in range(40)], columns=["g", "k", "w"])
+    df = spark.createDataFrame(data).unionByName(spark.createDataFrame([("a", None, 3), ("a", float("nan"), 1)], "g string, k double, w long"))
+    plain = running_total(df, "k", "w", [], by="g").toPandas()
+    sliced = running_total(df, "k", "w", {"a": [3.0, 30.5], "b": []}, by="g").toPandas()
+    order = ["g", "before", "w"]
+    assert plain.sort_values(order)[order].values.tolist() == sliced.sort_values(order)[order].values.tolist()
+    assert sliced[sliced["k"].isna() & (sliced["w"] == 3)]["before"].tolist() == [0]
+
+
+def test_cut_points_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SLICE_ROWS", 100)
+    cuts = ranks.cut_points(spark.range(1000).withColumn("half", F.expr("if(id < 150, id, null)")), {"x": F.col("id"), "y": F.col("half")})
+    assert len(cuts["x"]) == 10 and len(cuts["y"]) == 1 and abs(cuts["y"][0] - 75) < 3
+
+
+def test_dense_positions_across_blocks(spark):
+    values = [-5000, -1, 0, 4095, 4096, 9000, 2**31 - 1]
+    got = {r["v"]: r["p"] for r in ranks.dense_positions(spark.createDataFrame([(v,) for v in values], "v int"), "v", "p").collect()}
+    assert got == {v: float(i) for i, v in enumerate(values)}

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from assayer.functions import ranks
 from assayer.operators import charts, correlation, derive, evaluate, impute, outliers, profile, scale, select, splits
 
 
@@ -239,3 +240,47 @@ def test_pair_search_keeps_the_digits_of_columns_far_from_zero(spark):
         assert got[("a", "b", k)] == pytest.approx(want[k], abs=1e-5)
     assert got[("a", "b", "plus")] > 0.999999 and got[("a", "b", "multiply")] > 0.999999
     assert got[("a", "flat", "plus")] == pytest.approx(float(np.corrcoef(a, a + b)[0, 1]), abs=1e-6)
+
+
+def test_kappa_and_report_with_a_hundred_thousand_classes(spark):
+    df = spark.range(100_000).select(
+        F.col("id").cast("int").alias("y"), F.pmod(F.col("id") * 7919 + 13, F.lit(100_000)).cast("int").alias("c"))
+    pdf = df.toPandas()
+    i, j = pdf["y"].to_numpy(float), pdf["c"].to_numpy(float)
+    want = 1 - ((i - j) ** 2).sum() / (len(i) * (i.var() + j.var() + (i.mean() - j.mean()) ** 2))
+    assert evaluate.qwk(df, "y", "c").first()["qwk"] == pytest.approx(want, abs=1e-9)
+    assert evaluate.class_report(df, "y", "c").count() == 100_000
+
+
+def test_kappa_of_gaps_and_missing_predictions(spark):
+    df = spark.createDataFrame([(1, 1), (1, 9), (9, 9), (40, 9), (40, None), (None, 1)], "y int, c int")
+    # Positions 0, 1, 2; four complete rows: disagreement 2, by chance (per row and column sums) 2*1 + 1*4 + 1*1 ... over 4.
+    rows, cols = np.array([2, 1, 1]), np.array([1, 3, 0])
+    w = (np.arange(3)[:, None] - np.arange(3)[None, :]) ** 2
+    assert evaluate.qwk(df, "y", "c").first()["qwk"] == pytest.approx(1 - 2 / ((np.outer(rows, cols) * w).sum() / 4))
+    report = {r["label"]: (r["support"], r["precision"]) for r in evaluate.class_report(df, "y", "c").collect()}
+    assert report == {1: (2, 1.0), 9: (1, pytest.approx(1 / 3)), 40: (1, 0.0)}
+
+
+def test_auc_in_slices_equals_auc_in_one(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"y": rng.integers(0, 2, 800), "s": np.round(rng.normal(size=800), 1), "t": rng.random(800)})
+    df = spark.createDataFrame(data)
+    whole = {r["label"]: r["auc"] for r in evaluate.auc_per_class(df, "y", {0: "s", 1: "t"}).collect()}
+    monkeypatch.setattr(ranks, "SLICE_ROWS", 50)
+    sliced = {r["label"]: r["auc"] for r in evaluate.auc_per_class(df, "y", {0: "s", 1: "t"}).collect()}
+    assert sliced == pytest.approx(whole, abs=1e-12)
+
+
+def test_density_curves_of_groups(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=500)
+    df = spark.createDataFrame(pd.DataFrame({"g": ["a"] * 300 + ["b"] * 200, "x": x}))
+    df = df.unionByName(spark.createDataFrame([("a", None), ("a", float("nan")), ("c", 1.0), (None, 1.0), (None, 2.0)], "g string, x double"))
+    got = charts.kde(df, "x", 16, "g").toPandas()
+    assert set(got["label"].dropna()) == {"a", "b"} and got["label"].isna().sum() == 16 and len(got) == 48
+    a = got[got["label"] == "a"].sort_values("point")
+    h = x[:300].std(ddof=1) * 300 ** -0.2
+    want = np.exp(-0.5 * ((a["x"].to_numpy()[:, None] - x[None, :300]) / h) ** 2).sum(axis=1) / (300 * h * np.sqrt(2 * np.pi))
+    assert np.allclose(a["density"], want)
+    assert charts.kde(df.limit(0), "x", 16).count() == 0
