@@ -5,9 +5,10 @@ Every function that runs inside a task works on Arrow batches and holds a few me
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,20 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; its worker, which Spark keeps for later tasks, gives back what the task freed."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """``doc_id`` as long and ``text`` with null as empty, whatever other columns there are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -13,27 +13,33 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions.ranks import hash_rank
 
-from .common import column, stored, texts_of
+from .common import column, stored, texts_of, tidy
 
 CAPACITY, STEP, END_ID = 2048, 8, 1
 #: Share of the sequences by which the linear program may miss its lower bound.
 GAP = 1e-5
-#: Words whose ids a task remembers at most.
-REMEMBERED = 400_000
-#: New words that are encoded as one text.
+#: Entries that a task keeps at most of each kind, words and the tokenizer's own parts of words, in either of two generations.
+REMEMBERED = 80_000
+#: New words, or new parts, that are encoded as one text.
 TOGETHER = 100
+#: Words of these characters alone: composing leaves them as they are, and their case and class are the same in every Unicode version.
+SIMPLE = regex.compile(r"[!-~\u00c0-\u012f\u0131-\u024f\u4e00-\u9fa5]+")
+SIMPLE_TEXT = regex.compile(SIMPLE.pattern.replace("!-~", " -~"))
 
 
 def default_tokenizer() -> str:
@@ -42,16 +48,76 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Memory:
+    """A bounded map: what was used since the last turn outlives it, the rest goes."""
+
+    def __init__(self, limit: int = REMEMBERED) -> None:
+        self.limit, self.now, self.before = limit, {}, {}
+
+    def turn(self) -> None:
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that are new; those of the last generation are taken over."""
+        new = keys.difference(self.now)
+        if self.before:
+            old = self.before.keys() & new  # goes through the smaller of the two
+            self.now.update(zip(old, map(self.before.__getitem__, old)))
+            new -= old
+        return list(new)
+
+
 class WordEncoder:
-    """Ids of whole texts under a tokenizer that never joins across blanks, with the ids of each word kept."""
+    """Ids of whole texts under a tokenizer that never joins across blanks, with the ids of each word kept.
+
+    A tokenizer that lower-cases and marks the end of each part it cuts a word into has the ids of parts kept as well,
+    which repeat far more often than words with their case and marks.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), Memory(), Memory()
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        steps = [n.get("type") for n in (settings.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = cuts[0].get("pattern", {}).get("Regex")
+        suffix = settings["model"].get("end_of_word_suffix")
+        known = steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and pattern and suffix
+        self.cut = regex.compile(pattern).findall if known and cuts[0].get("invert") and cuts[0].get("behavior") == "Removed" else None
+        if self.cut:
+            vocab = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """Encode new parts, ``TOGETHER`` in one text; the last token of each is marked."""
+        groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            data, cuts = ids.tobytes(), [0, *ends.tolist()]
+            self.parts.now.update(zip(group, [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
 
     def learn(self, words: list[str]) -> None:
+        if self.cut:
+            simple = words if SIMPLE_TEXT.fullmatch(" ".join(words)) else [w for w in words if SIMPLE.fullmatch(w)]
+            cut = self.cut
+            # Letters alone are one part, as is one sign behind them.
+            split = [[w] if w.isalpha() else [w[:-1], w[-1]] if w[-1:] in ".,;:!?" and w[:-1].isalpha() else cut(w)
+                     for w in [w.lower() for w in simple]]
+            self.learn_parts(self.parts.missing(set(chain.from_iterable(split))))
+            known = self.parts.now
+            self.words.now.update(zip(simple, [b"".join([known[p] for p in parts]) for parts in split], strict=True))
+            if len(simple) == len(words):
+                return
+            words = [w for w in words if not SIMPLE.fullmatch(w)]
+        self.learn_words(words)
+
+    def learn_words(self, words: list[str]) -> None:
         """Encode new words, ``TOGETHER`` in one text, as an object for each would cost more than its encoding.
 
         Offsets tell the words' ids apart. They are sure where composing characters changes nothing; other words go alone.
@@ -60,22 +126,23 @@ class WordEncoder:
         alone = [w for w in words if not unicodedata.is_normalized("NFC", w)] if len(plain) < len(words) else []
         groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
         found = self.tokenizer.encode_batch([" ".join(g) for g in groups] + alone, add_special_tokens=False)
+        known = self.words.now
         for group, ids in zip(groups, found):
             begins = np.cumsum([0, *[len(w) + 1 for w in group[:-1]]])
             at = np.array(ids.offsets, np.int64).reshape(-1, 2)[:, 0]
             cuts = (4 * np.append(np.searchsorted(at, begins), len(at))).tolist()
             data = np.array(ids.ids, "<u4").tobytes()
-            self.known.update(zip(group, [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
+            known.update(zip(group, [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
         for word, ids in zip(alone, found[len(groups) :], strict=True):
-            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+            known[word] = np.array(ids.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        self.words.turn()
+        self.parts.turn()
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn([w for w in set().union(*split) if w not in known])
+        self.learn(self.words.missing(set().union(*split)))
+        known = self.words.now
         for words in split:
             yield b"".join([known[w] for w in words])
 
@@ -99,7 +166,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return texts_of(docs).mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def best_pattern(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -1,5 +1,6 @@
 """The text operators against brute force on small tables, with nulls, empty and long texts, ties and clashing columns."""
 
+import random
 import hashlib
 import math
 import re
@@ -389,3 +390,21 @@ def test_minhash_loses_no_link_beside_a_document_without_id(spark):
     got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()), key=repr)
     assert got == [(0, 0, True), (1, 0, False), (2, 2, True), (None, None, True)]
     assert sorted((r["doc_id"] for r in minhash.keep_one(docs).collect()), key=repr) == [0, 2, None]
+
+
+def test_word_encoder_equals_the_tokenizer_on_odd_words():
+    rng = random.Random(4)
+    bits = ["'s", "'T", "don't", "..'s", "İ", "×", "²", "1", "23", "Ab", "é", "é", "中", "\t", " ", "\n", "\x1c", "\x85", "#", "_", "Σ", "한", "😀", "'ll", "'", "ß", "."]
+    texts = ["", *["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(1500)], "x" * 30_000]
+    encoder = packing.WordEncoder(packing.default_tokenizer())
+    encoder.words.limit = encoder.parts.limit = 50  # generations turn all the time
+    got = [b for at in range(0, len(texts), 64) for b in encoder.encode(texts[at : at + 64])]
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert got == want and encoder.cut
+
+
+def test_memory_keeps_what_is_used():
+    memory = packing.Memory(2)
+    memory.now.update(a=1, b=2, c=3)
+    memory.turn()
+    assert memory.missing({"a", "z"}) == ["z"] and memory.now == {"a": 1}
