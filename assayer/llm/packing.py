@@ -34,7 +34,7 @@ CAPACITY, STEP, END_ID = 2048, 8, 1
 #: Share of the sequences by which the linear program may miss its lower bound.
 GAP = 1e-5
 #: Entries that a task keeps at most of each kind, words and the tokenizer's own parts of words, in either of two generations.
-REMEMBERED = 80_000
+REMEMBERED = 160_000
 #: New words, or new parts, that are encoded as one text.
 TOGETHER = 100
 #: Words of these characters alone: composing leaves them as they are, and their case and class are the same in every Unicode version.
