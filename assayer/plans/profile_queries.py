@@ -110,6 +110,27 @@ def p09(spark, sf):
     return out.withColumns({"skewness": rnd("skewness", 5), "kurtosis": rnd("kurtosis", 5), "jb": rnd("jb", 3), "p_value": rnd("p_value")})
 
 
+def _ks_sql(col: str) -> str:
+    t = f"(1 / (1 + {profile.NORMAL_SCALE} * ABS(z)))"
+    poly = " + ".join(f"({b}) * POW({t}, {i})" for i, b in enumerate(profile.NORMAL_TERMS, 1))
+    return f"""SELECT '{col}' AS feature, CAST(MAX(n) AS BIGINT) AS n, MAX(GREATEST(ABS(p - (upto - w) / n), ABS(p - upto / n))) AS ks FROM (
+      SELECT *, CASE WHEN z < 0 THEN tail ELSE 1 - tail END AS p FROM (SELECT *, ({poly}) * EXP(-z * z / 2) / SQRT(2 * PI()) AS tail FROM (
+      SELECT (v - m) / s AS z, w, CAST(SUM(w) OVER (ORDER BY v) AS DOUBLE) AS upto, n FROM
+        (SELECT {col} AS v, COUNT(*) AS w FROM order_features WHERE {col} IS NOT NULL GROUP BY 1),
+        (SELECT AVG({col}) AS m, STDDEV_SAMP({col}) AS s, COUNT({col}) AS n FROM order_features))))"""
+
+
+_KS_P = " + ".join(f"{2 if k % 2 else -2} * EXP(-2.0 * {k * k} * x * x)" for k in range(1, 31))
+
+
+@query("p09_ks_normality", with_views("order_features", f"""SELECT feature, n, {r('ks', 5)} AS ks, {r('p', 4)} AS p_value, p > 0.05 AS normal FROM (
+  SELECT *, CASE WHEN x < 0.2 THEN 1.0 ELSE LEAST(GREATEST({_KS_P}, 0.0), 1.0) END AS p FROM (
+  SELECT *, (SQRT(n) + 0.12 + 0.11 / SQRT(n)) * ks AS x FROM ({_union(_ks_sql(c) for c in ORDER_COLS)})))"""))
+def p09_ks(spark, sf):
+    out = profile.ks_normality(views.order_features(spark, sf), ORDER_COLS)
+    return out.withColumns({"ks": rnd("ks", 5), "p_value": rnd("p_value", 4)})
+
+
 @query("p10_category_counts", with_views("doc_features", _union(
     f"SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS n FROM doc_features GROUP BY {c}" for c in ("lang", "source"))))
 def p10(spark, sf):

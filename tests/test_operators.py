@@ -284,3 +284,19 @@ def test_density_curves_of_groups(spark):
     want = np.exp(-0.5 * ((a["x"].to_numpy()[:, None] - x[None, :300]) / h) ** 2).sum(axis=1) / (300 * h * np.sqrt(2 * np.pi))
     assert np.allclose(a["density"], want)
     assert charts.kde(df.limit(0), "x", 16).count() == 0
+
+
+def test_ks_distance_against_numpy(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SLICE_ROWS", 60)
+    rng = np.random.default_rng(11)
+    data = pd.DataFrame({"normal": rng.normal(3, 2, 400), "coarse": rng.integers(0, 4, 400).astype(float), "flat": 1.0, "a b": rng.exponential(size=400)})
+    df = spark.createDataFrame(data).unionByName(spark.createDataFrame([(None, float("nan"), None, None)], "normal double, coarse double, flat double, `a b` double"))
+    got = {r["feature"]: r for r in profile.ks_normality(df, list(data)).collect()}
+    assert set(got) == {"normal", "coarse", "a b"}
+    for c in got:
+        x = np.sort(data[c].to_numpy())
+        p = np.array([0.5 * math.erfc(-(v - x.mean()) / x.std(ddof=1) / math.sqrt(2)) for v in x])
+        below, upto = np.searchsorted(x, x, "left") / 400, np.searchsorted(x, x, "right") / 400
+        assert got[c]["n"] == 400 and got[c]["ks"] == pytest.approx(max(abs(p - below).max(), abs(p - upto).max()), abs=1e-6)
+    assert got["normal"]["normal"] and not got["coarse"]["normal"] and not got["a b"]["normal"]
+    assert profile.ks_normality(df.limit(0), list(data)).count() == 0
