@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import row_hash
 from ..functions.quantiles import column_quantiles
 from ..functions.stats import all_pairs, column_table, corr_pairs, moments, q
+from .correlation import best_operations, pair_search
 from .profile import class_box
 
 KDE_GROUPS = 10_000  # groups whose curves a task adds up in memory
@@ -152,3 +153,18 @@ def interaction_scatter(df: DataFrame, row_id: str, pairs: list[tuple[str, str]]
         F.struct(F.lit(f"{a}|{b}").alias("pair"), q(a).cast("double").alias("x"), q(b).cast("double").alias("y")) for a, b in pairs
     ])).alias("s")
     return sample.select(F.col(row_id).alias("row_id"), F.col(label).alias("label"), spots).select("row_id", "label", "s.*")
+
+
+def found_scatter(df: DataFrame, row_id: str, cols: list[str], label: str, pairs: int = 3) -> DataFrame:
+    """``row_id, label, pair, x, y`` of all rows for the ``pairs`` feature pairs whose best operation correlates most with the label.
+
+    One scan searches all pairs; correlations are compared to six digits, ties go to the smaller names.
+    """
+    best = best_operations(pair_search(df, cols, label))
+    top = best.orderBy(F.round("corr_abs", 6).desc(), "f1", "f2").limit(pairs).select("f1", "f2").collect()
+    if not top:
+        return df.select(F.col(row_id).alias("row_id"), F.col(label).alias("label"), F.lit("").alias("pair"),
+                         F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0)
+    spots = F.inline(F.array(*[
+        F.struct(F.lit(f"{r['f1']}|{r['f2']}").alias("pair"), q(r["f1"]).cast("double").alias("x"), q(r["f2"]).cast("double").alias("y")) for r in top]))
+    return df.select(F.col(row_id).alias("row_id"), F.col(label).alias("label"), spots)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import correlation as corr
-from ..operators import outliers, profile, select
+from ..operators import charts, outliers, profile, select
 from ..sources import views
 from ..sources.views import DOC_COLS, ORDER_COLS, USER_COLS, with_views
 from .profile_queries import _union, iqr_ctes
@@ -129,6 +129,17 @@ def c11(spark, sf):
     return rounded(best, ["corr_abs", "corr_raw"]).orderBy(F.desc("corr_abs"))
 
 
+def _by_name(name: str) -> str:
+    return f"CASE {name} " + " ".join(f"WHEN '{c}' THEN CAST({c} AS DOUBLE)" for c in ORDER_COLS) + " END"
+
+
+@query("v08_found_scatter", with_views("order_features", f"""THEN {_CATALOGUE}, {_BEST},
+  top AS (SELECT f1, f2 FROM best WHERE corr_raw IS NOT NULL ORDER BY ROUND(ABS(corr_raw), 6) DESC, f1, f2 LIMIT 3)
+SELECT row_id, quality AS label, f1 || '|' || f2 AS pair, {_by_name('f1')} AS x, {_by_name('f2')} AS y FROM order_features, top"""))
+def v08_found(spark, sf):
+    return charts.found_scatter(_order(spark, sf), "row_id", ORDER_COLS, "quality")
+
+
 _RULES = [
     {"f1": "sum_qty", "f2": "min_qty", "operation": "divide", "new_feature_name": "sum_qty_divide_min_qty"},
     {"f1": "sum_price", "f2": "max_tax", "operation": "divide", "new_feature_name": "sum_price_divide_max_tax"},

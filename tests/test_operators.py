@@ -300,3 +300,12 @@ def test_ks_distance_against_numpy(spark, monkeypatch):
         assert got[c]["n"] == 400 and got[c]["ks"] == pytest.approx(max(abs(p - below).max(), abs(p - upto).max()), abs=1e-6)
     assert got["normal"]["normal"] and not got["coarse"]["normal"] and not got["a b"]["normal"]
     assert profile.ks_normality(df.limit(0), list(data)).count() == 0
+
+
+def test_found_scatter_has_all_rows_of_the_best_pairs(spark):
+    rng = np.random.default_rng(2)
+    data = pd.DataFrame(rng.normal(size=(700, 3)), columns=["a", "b", "c d"]).assign(row_id=range(700))
+    data["y"] = data["a"] * data["c d"]
+    got = charts.found_scatter(spark.createDataFrame(data), "row_id", ["a", "b", "c d"], "y", 1).toPandas().sort_values("row_id")
+    assert set(got["pair"]) == {"a|c d"} and len(got) == 700 and np.allclose(got["y"], data["c d"])
+    assert charts.found_scatter(spark.createDataFrame(data).limit(0), "row_id", ["a", "b"], "y").count() == 0
