@@ -11,8 +11,8 @@ holds the segments of some of these keys: all places of a window are in one shar
 segment under one key. The windows of a key of more than ``SHARD`` bytes are split again by their own digests: they are counted per
 digest before the shuffle, and only digests met twice go back to their places, so no such key meets in one task.
 
-*Induced sorting.* A shard's text is suffix-sorted by induction: the suffixes at local minima (LMS) are ranked over a reduced
-text of their names, and in one ascending and one descending pass over the byte values each sorted suffix puts the suffix before
+*Induced sorting.* A shard's text is suffix-sorted by induction: the strings between local minima (LMS) get names in their order, the
+suffixes at the minima are ranked over the reduced text of these names, and in one ascending and one descending pass over the byte values each sorted suffix puts the suffix before
 it at the end of its value's queue. Queues keep at most ``IN_MEMORY`` entries in memory and the rest in the task's temporary
 folder. The reduced text is ranked by doubling, up to the window length. Neighbours in this order whose windows are equal mark
 both windows as repeated.
@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,7 +119,7 @@ class Queue:
     held = 0
 
     def __init__(self, folder: str, limit: int) -> None:
-        self.folder, self.limit, self.parts, self.last, self.waiting = folder, limit, [], [], 0
+        self.folder, self.limit, self.parts, self.last, self.waiting = folder, limit, deque(), [], 0
 
     def push(self, places: np.ndarray) -> None:
         if not self.last and Queue.held + len(places) <= self.limit:
@@ -134,20 +135,27 @@ class Queue:
             self.parts.append(path)
             self.last, self.waiting = [], 0
 
+    def take(self) -> np.ndarray:
+        """The oldest part."""
+        if not self.parts:
+            part, self.last, self.waiting = np.concatenate(self.last), [], 0
+            return part
+        part = self.parts.popleft()
+        if isinstance(part, str):
+            path, part = part, np.fromfile(part, np.int32)
+            os.unlink(path)
+        else:
+            Queue.held -= len(part)
+        return part
+
     def pop(self) -> Iterator[np.ndarray]:
-        """All entries in order, those that are pushed meanwhile included."""
+        """All entries in order, those that are pushed meanwhile included; about ``limit`` at a time, as few parts as possible."""
         while self.parts or self.last:
-            if not self.parts:
-                gathered, self.last, self.waiting = self.last, [], 0
-                yield np.concatenate(gathered)
-                continue
-            part = self.parts.pop(0)
-            if isinstance(part, str):
-                yield np.fromfile(part, np.int64)
-                os.unlink(part)
-            else:
-                Queue.held -= len(part)
-                yield part
+            gathered, size = [], 0
+            while (self.parts or self.last) and size < max(1, self.limit):
+                gathered.append(self.take())
+                size += len(gathered[-1])
+            yield np.concatenate(gathered)
 
 
 def induced(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, folder: str, limit: int) -> np.ndarray:
@@ -165,29 +173,34 @@ def induced(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, folder: str,
         for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
             queues[keys[a]].push(places[a:b])
 
-    by_value = [seeds[text[seeds] == c] for c in range(values)]
+    seeds = seeds.astype(np.int32)
+    seeds = seeds[np.argsort(text[seeds], kind="stable")]
+    at = np.searchsorted(text[seeds], np.arange(values + 1))
     rising, large = [Queue(folder, limit) for _ in range(values)], [[] for _ in range(values)]
     for c in range(values):
         for places in rising[c].pop():
             large[c].append(places)
             before = places[places > 0] - 1
             deal(rising, before[~small[before]])
-        before = by_value[c][by_value[c] > 0] - 1
+        minima = seeds[at[c] : at[c + 1]]
+        before = minima[minima > 0] - 1
         deal(rising, before[~small[before]])
-    falling, out = [Queue(folder, limit) for _ in range(values)], []
-    for c in reversed(range(values)):
-        low = []
+    # The second pass fills the order from its end.
+    falling, out, top = [Queue(folder, limit) for _ in range(values)], np.empty(len(text), np.int32), len(text)
+    for c in reversed(range(1, values)):
         for places in falling[c].pop():
-            low.append(places)
-            before = places[places > 0] - 1
-            deal(falling, before[small[before] & (before >= 0)])
-        out += low  # falling order
-        for places in reversed(large[c]):
-            places = places[::-1]
-            out.append(places)
+            out[top - len(places) : top] = places[::-1]
+            top -= len(places)
             before = places[places > 0] - 1
             deal(falling, before[small[before]])
-    return np.concatenate([*out, [len(text) - 1]])[::-1]
+        while large[c]:
+            places = large[c].pop()
+            out[top - len(places) : top] = places
+            top -= len(places)
+            before = places[::-1][places[::-1] > 0] - 1
+            deal(falling, before[small[before]])
+    out[0] = len(text) - 1
+    return out
 
 
 def local_minima(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,32 +220,51 @@ def suffix_order(data: np.ndarray, reach: int, limit: int = IN_MEMORY) -> np.nda
     if len(data) < 2:
         return np.arange(len(data))
     small, lms = local_minima(text)
-    if len(lms) < 2:
-        seeds = lms
-    else:
-        # Names of LMS strings by their bytes: rank of the hash of each string from one minimum to the next, in text order.
-        rank = lms_ranks(text, lms, reach)
-        seeds = lms[np.argsort(rank, kind="stable")]
+    seeds = lms[np.argsort(reduced_ranks(lms_names(text, small, lms, reach), reach), kind="stable")]
     with tempfile.TemporaryDirectory() as folder:
         order = induced(text, small, seeds, folder, limit)
-    return order[order < len(data)]
+    return order[1:]  # without the end mark
 
 
-def lms_ranks(text: np.ndarray, lms: np.ndarray, reach: int) -> np.ndarray:
-    """Rank of the suffix at each LMS place by ``reach`` values or more: eight at a time, then doubled."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
-    first = np.zeros(n, np.uint64)  # seven values of nine bits, in order
-    for k in range(7):
-        first = (first << np.uint64(9)) | padded[k : k + n]
-    _, every = np.unique(first, return_inverse=True)
-    size = 7
-    while size < reach:  # ranks of all places, doubled
+def lms_names(text: np.ndarray, small: np.ndarray, lms: np.ndarray, reach: int) -> np.ndarray:
+    """For each string from one local minimum to the next, both included, how many are less.
+
+    Strings are compared by (value, kind), six places at a time; those already told apart or at their end are left out of the
+    next six. Strings that agree in ``reach`` places count as equal.
+    """
+    n, m = len(text), len(lms)
+    signs = text * np.int16(2) + small + np.int16(1)
+    end = np.append(lms[1:] + 1, n)
+    names, left = np.zeros(m, np.int64), np.arange(m)
+    for done in range(0, reach, 6):
+        code = np.zeros(len(left), np.uint64)
+        for k in range(done, done + 6):
+            place = lms[left] + k
+            code = code << np.uint64(10) | np.where(place < end[left], signs[np.minimum(place, n - 1)], 0).astype(np.uint64)
+        order = np.lexsort((code, names[left]))
+        left, code, group = left[order], code[order], names[left[order]]
+        opens = np.append(True, group[1:] != group[:-1])
+        differs = opens | np.append(True, code[1:] != code[:-1])
+        at = np.arange(len(left))
+        first = at[differs][np.cumsum(differs) - 1]
+        names[left] = group + first - at[opens][np.cumsum(opens) - 1]
+        alone = differs & np.append(differs[1:], True)
+        left = left[~alone & (lms[left] + done + 6 < end[left])]
+        if not len(left):
+            break
+    return names
+
+
+def reduced_ranks(names: np.ndarray, reach: int) -> np.ndarray:
+    """Ranks of the suffixes of the reduced text of names, by doubling; a name stands for two places of the text or more."""
+    n, size = len(names), 1
+    kinds, ranks = np.unique(names, return_inverse=True)
+    while len(kinds) < n and 2 * size < reach:
         ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - size)] = every[size:] + 1
-        _, every = np.unique(every.astype(np.int64) * (n + 1) + ahead, return_inverse=True)
+        ahead[: max(0, n - size)] = ranks[size:] + 1
+        kinds, ranks = np.unique(ranks * (n + 1) + ahead, return_inverse=True)
         size *= 2
-    return every[lms]
+    return ranks
 
 
 def repeated_windows(segments: list[bytes], length: int, limit: int = IN_MEMORY) -> list[list[tuple[int, int]]]:
@@ -250,13 +282,15 @@ def repeated_windows(segments: list[bytes], length: int, limit: int = IN_MEMORY)
         order = order[is_window[order]]
         hasher = ByteHasher()
         hasher.load(data)
-        same = np.ones(max(0, len(order) - 1), bool)
-        for k in (0, 1):
-            digest = hasher.parts(order, order + length, k)
-            same &= digest[1:] == digest[:-1]
         found = np.zeros(len(data) + 1, bool)
-        found[order[1:][same]] = True
-        found[order[:-1][same]] = True
+        for low in range(0, len(order) - 1, WINDOWS):
+            part = order[low : low + WINDOWS + 1]
+            same = np.ones(len(part) - 1, bool)
+            for k in (0, 1):
+                digest = hasher.parts(part, part + length, k)
+                same &= digest[1:] == digest[:-1]
+            found[part[1:][same]] = True
+            found[part[:-1][same]] = True
     out = []
     for low, n in zip(first.tolist(), counts.tolist(), strict=True):
         own = np.diff(np.concatenate([[0], found[low : low + n].astype(np.int8), [0]]))
