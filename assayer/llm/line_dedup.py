@@ -1,8 +1,8 @@
 """Line dedup by a deletion-neighbourhood join, with an edit bound of one character.
 
 A line is dropped if the same line, or one within one inserted, deleted or replaced character, stands earlier in the
-corpus (by doc_id, then line number). Lines of fewer than ``MIN_CHARS`` characters stay and drop nothing: short forms differ
-by one character without being copies.
+corpus (by doc_id, then line number). Lines of fewer than ``MIN_CHARS`` characters are dropped for an equal line only: short forms
+differ by one character without being copies. Blank lines (nothing but spaces, tabs and other ASCII white space) always stay.
 
 1. Every line becomes a hash; equal lines become one, with its first place.
 2. *Windows.* If two lines are one edit apart and the edit lies in the w-th of W windows of the longer one, all before and
@@ -52,6 +52,11 @@ class LineHasher:
         breaks = np.flatnonzero(self.chars == 10)
         self.start, self.end = np.concatenate([[0], breaks + 1]), np.concatenate([breaks, [n]])
 
+    def filled(self) -> np.ndarray:
+        """Numbers of the lines that are not blank."""
+        ink = np.concatenate([[0], np.cumsum((self.chars != 32) & ((self.chars < 9) | (self.chars > 13)))])
+        return np.flatnonzero(ink[self.end] > ink[self.start])
+
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.total[end] - self.total[start]) * self.down[start]
 
@@ -78,7 +83,7 @@ class LineHasher:
 
 
 def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(line, place, keys) per line of ``min_chars`` characters or more; place is (doc_id, line number)."""
+    """(line, doc_id, number, keys) per line that is not blank; lines under ``min_chars`` characters have no keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -86,17 +91,17 @@ def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
             for batch in batches:
                 found = []
                 for doc, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "text").to_pylist(), strict=True):
-                    if len(text) < min_chars:
-                        continue
                     hasher.load(text)
-                    number = np.flatnonzero(hasher.end - hasher.start >= min_chars)
+                    number = hasher.filled()
                     start, end = hasher.start[number], hasher.end[number]
-                    found.append((hasher.whole(start, end).view(np.int64), np.full(len(number), doc), number, hasher.window_keys(start, end, WINDOWS[0]).view(np.int64)))
+                    near = end - start >= min_chars
+                    keys = hasher.window_keys(start[near], end[near], WINDOWS[0]).view(np.int64)
+                    found.append((hasher.whole(start, end).view(np.int64), np.full(len(number), doc), number, near, keys.reshape(-1)))
                 if found:
-                    line, doc, number, keys = (np.concatenate(x) for x in zip(*found, strict=True))
-                    ends = np.arange(len(line) + 1, dtype=np.int32) * (2 * WINDOWS[0])
+                    line, doc, number, near, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+                    ends = np.concatenate([[0], np.cumsum(near * (2 * WINDOWS[0]))]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(line), pa.array(doc, pa.int64()), pa.array(number.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1)))],
+                        [pa.array(line), pa.array(doc, pa.int64()), pa.array(number.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))],
                         names=["line", "doc_id", "number", "keys"])
 
     return texts_of(docs).filter("doc_id is not null").mapInArrow(run, "line long, doc_id long, number int, keys array<long>")

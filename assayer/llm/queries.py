@@ -53,11 +53,12 @@ WITH lines AS (
     SELECT doc_id, UNNEST(range(len(l))) AS number, UNNEST(l) AS line
     FROM (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS l FROM documents)
 ), distinct_lines AS (
-    SELECT line, length(line) AS n, MIN({'d': doc_id, 'k': number}) AS first FROM lines WHERE length(line) >= 20 GROUP BY line
+    SELECT line, length(line) AS n, MIN({'d': doc_id, 'k': number}) AS first FROM lines
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY line
 ), halves AS (
     SELECT line, n, first, n + g AS l, s,
            CASE s WHEN 0 THEN left(line, (n + g - 1) // 2) ELSE right(line, (n + g - 1) // 2) END AS half
-    FROM distinct_lines, (VALUES (0), (1)) AS g(g), (VALUES (0), (1)) AS s(s)
+    FROM distinct_lines, (VALUES (0), (1)) AS g(g), (VALUES (0), (1)) AS s(s) WHERE n >= 20
 ), near AS (
     SELECT DISTINCT a.line FROM halves a JOIN halves b ON a.l = b.l AND a.s = b.s AND a.half = b.half
     WHERE b.first < a.first AND levenshtein(a.line, b.line) <= 1

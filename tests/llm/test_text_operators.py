@@ -115,13 +115,15 @@ def test_line_dedup(spark):
     for k in range(160):
         line = stock[(k // 6) % 12]
         at = int(rng.integers(0, 24))
-        lines.append([line, line[:at] + line[at + 1 :], line[:at] + "z" + line[at:], line[:at] + "q" + line[at + 1 :], "short", ""][k % 6])
+        lines.append([line, line[:at] + line[at + 1 :], line[:at] + "z" + line[at:], line[:at] + "q" + line[at + 1 :], f"short{k % 9}", ["", " \t", "\u3000"][k % 3]][k % 6])
     texts = [None, "", "x", *("\n".join(lines[i : i + 8]) for i in range(0, 160, 8)), "a" * 25 + "\n" + "a" * 26, words(4000, 5)]
     docs = documents(spark, texts)
     flat = [(d, n, line) for d, t in enumerate(texts) for n, line in enumerate((t or "").split("\n"))]
     kept = {}
     for i, (d, n, line) in enumerate(flat):
-        if not (len(line) >= 20 and any(len(o) >= 20 and distance_one(line, o) for _, _, o in flat[:i])):
+        earlier = [o for _, _, o in flat[:i]]
+        again = line.strip(" \t\n\v\f\r") and line in earlier
+        if not (again or len(line) >= 20 and any(len(o) >= 20 and distance_one(line, o) for o in earlier)):
             kept.setdefault(d, []).append(line)
     first = {}
     for d, n, line in flat:
