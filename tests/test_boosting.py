@@ -175,3 +175,22 @@ def test_saving_and_recipes(spark, tmp_path):
     model = tuning.fit(rows, recipe, "quality")
     assert {r[0] for r in model.transform(rows).select("prediction").distinct().collect()} <= {3.0, 4.0, 5.0, 6.0}
     assert tuning.score(model.transform(rows), "quality")["accuracy"] > 0.7
+
+
+def test_stored_blocks_keep_a_task_each(spark, monkeypatch):
+    """Files read back were packed by size, so that a large table's passes left cores without work."""
+    monkeypatch.setattr(boosting, "CELLS", 60)
+    x, y, noise = data(400, 5)
+    rows = spark.createDataFrame([(r.tolist(), float(t), 1.0) for r, t in zip(np.nan_to_num(x), y + noise)], "features array<double>, label double, weight double")
+    booster = boosting.Booster(rows.repartition(9), 0, boosting.Settings(rounds=12, depth=2, bins=64))
+    booster.run()
+    assert booster.applied and booster.parts == booster.blocks.rdd.getNumPartitions() == min(400 * 3 // 60, spark.sparkContext.defaultParallelism)
+
+
+@pytest.mark.parametrize("splits", [0, 1, 3, 7, 9])
+def test_leaf_tables_equal_the_walk(splits):
+    rng = np.random.default_rng(splits)
+    bins, tree, leaves = rng.integers(0, 256, (3, 500)).astype(np.uint8), boosting.Tree(depth=splits), [0]
+    for i in range(splits):
+        leaves += tree.split(leaves.pop(0), int(rng.integers(3)), int(rng.integers(20, 200)), bool(i % 2), i + 0.25, -i - 0.5)
+    assert (tree.lookup()(bins, tree.value) == np.array(tree.value)[tree.walk(bins)]).all()
