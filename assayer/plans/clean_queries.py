@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import numeric_columns
 from ..operators import derive, impute, outliers, profile, scale, splits
+from ..session import cut_lineage
 from ..sources import tables, views
 from ..sources.views import DOC_COLS, LINE_COLS, ORDER_COLS, with_views
 from .profile_queries import _union, iqr_ctes
@@ -364,7 +365,7 @@ def _describe_scaled(how: str) -> str:
 
 @query("p12_compare_scalers", with_views("order_features", _union(_describe_scaled(h) for h in scale.LINEAR)))
 def p12(spark, sf):
-    df = views.order_features(spark, sf).select("sum_qty")
+    df = cut_lineage(views.order_features(spark, sf).select("sum_qty"))  # every scaler and summary reads it several times
     parts = []
     for how in scale.LINEAR:
         scaled = scale.scale_apply(df, scale.scale_fit(df, ["sum_qty"], how))

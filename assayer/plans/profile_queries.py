@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import charts, outliers, profile, splits
+from ..session import cut_lineage
 from ..sources import views
 from ..sources.views import DOC_COLS, LINE_COLS, ORDER_COLS, with_views
 from .registry import query, rnd, rounded, sql_rnd as r
@@ -222,7 +223,7 @@ def _box_sql(source: str, col: str, extra: str) -> str:
 @query("v03_box_before_after", with_views("order_features", iqr_ctes("order_features", ORDER_COLS) + " " + _union(
     [_box_sql("order_features", c, "'before' AS stage,") for c in ORDER_COLS] + [_box_sql("kept", c, "'after' AS stage,") for c in ORDER_COLS])))
 def v03(spark, sf):
-    df = views.order_features(spark, sf)
+    df = cut_lineage(views.order_features(spark, sf))  # bounds, quantiles and boxes read it several times
     kept = outliers.iqr_filter(df, outliers.iqr_fit(df, ORDER_COLS))
     return rounded(charts.box_before_after(df, kept, ORDER_COLS), ["q25", "q50", "q75", "whisker_lo", "whisker_hi"])
 
