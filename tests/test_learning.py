@@ -300,3 +300,17 @@ def test_knn_regress_with_a_pile_of_copies_and_missing_labels(spark):
     df = spark.createDataFrame(rows, "row_id long, x double, y double")
     got = {r["row_id"]: r["prediction"] for r in neighbors.knn_regress(df, df, ["x"], "y", 3).collect()}
     assert got[0] == got[49] == 0.5  # ids 0, 1 and 2, the last without a label
+
+
+def test_class_weights_do_not_gather_a_class_in_one_task(spark):
+    rows = [(i, "a" if i % 10 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id long, label string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = resample.with_class_weights(df, "label")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = {(r["label"], r["weight"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert out.count() == 200 and found == {("a", 200 / (2 * 180)), (None, 200 / (2 * 20))}
