@@ -410,3 +410,12 @@ def test_memory_keeps_what_is_used():
     memory.now.update(a=1, b=2, c=3)
     memory.turn()
     assert memory.missing({"a", "z"}) == ["z"] and memory.now == {"a": 1}
+
+
+def test_disguised_words_of_any_length_are_restored():
+    word = "vileword" * 12
+    model = toxicity.CharModel(Counter(toxicity.trigrams_of(word)))
+    evidence = toxicity.Evidence({"vilewo*": 4.0, word: 7.0}, model)
+    for text in (word.replace("i", "1", 3), "v.i.l.e" + word[4:].replace("e", "3"), "vvvile" + word[4:], " ".join(word)):
+        assert len(text) > 60 and evidence.of(f"some {text} here") == 7.0
+    assert toxicity.decode(word.replace("i", "!") * 100, model) == word * 100
