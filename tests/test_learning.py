@@ -314,3 +314,17 @@ def test_class_weights_do_not_gather_a_class_in_one_task(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
     assert out.count() == 200 and found == {("a", 200 / (2 * 180)), (None, 200 / (2 * 20))}
+
+
+def test_few_pairs_of_unstructured_vectors_stay_open():
+    """Images rule out next to nothing there; a matrix product leaves the nearest, and equal vectors and far limits lose none."""
+    x = np.random.default_rng(3).normal(size=(1500, 40)) * 1e3 + 1e4
+    x[700:720] = x[0]
+    image = neighbors.Image(x[::2])
+    d2 = neighbors._distances(x, x)
+    far = np.where(np.arange(1500) % 2 == 0, np.inf, np.sort(d2, axis=1)[:, 3])
+    r, c = neighbors._candidates(x, image.of(x), far, x, image.of(x), 5, np.eye(1500, dtype=bool))
+    assert len(r) < 0.05 * 1500**2
+    np.fill_diagonal(d2, np.inf)
+    limit = np.minimum(np.partition(d2, 4, axis=1)[:, 4], far)
+    assert set(zip(*np.nonzero(d2 <= limit[:, None]))) <= set(zip(r, c))
