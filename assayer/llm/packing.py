@@ -13,6 +13,7 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import unicodedata
@@ -153,18 +154,22 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(path), np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                for doc, ids in zip(column(part, "doc_id").to_pylist(), encoder.encode(column(part, "text").to_pylist()), strict=True):
-                    ids += end
-                    total = len(ids) // 4
-                    for start in range(0, total, capacity):
-                        cut = ids[4 * start : 4 * (start + capacity)]
-                        rows.append((doc, start, len(cut) // 4, zlib.crc32(cut), total))
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        gc.disable()  # the encoder makes millions of small objects, and no cycles to search for
+        try:
+            for batch in batches:
+                rows = []
+                for at in range(0, batch.num_rows, 64):
+                    part = batch.slice(at, 64)
+                    for doc, ids in zip(column(part, "doc_id").to_pylist(), encoder.encode(column(part, "text").to_pylist()), strict=True):
+                        ids += end
+                        total = len(ids) // 4
+                        for start in range(0, total, capacity):
+                            cut = ids[4 * start : 4 * (start + capacity)]
+                            rows.append((doc, start, len(cut) // 4, zlib.crc32(cut), total))
+                columns = zip(*rows, strict=True) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        finally:
+            gc.enable()
 
     return texts_of(docs).mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 

@@ -1,5 +1,6 @@
 """The text operators against brute force on small tables, with nulls, empty and long texts, ties and clashing columns."""
 
+import gc
 import random
 import hashlib
 import math
@@ -405,6 +406,16 @@ def test_word_encoder_equals_the_tokenizer_on_odd_words():
     assert got == want and encoder.cut
 
 
+def test_packing_encodes_without_the_search_for_cycles(spark, monkeypatch):
+    tasks, seen, encode = [], [], packing.WordEncoder.encode
+    monkeypatch.setattr(packing, "tidy", lambda run: tasks.append(run) or run)
+    packing.pieces(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    monkeypatch.setattr(packing.WordEncoder, "encode", lambda self, texts: seen.append(gc.isenabled()) or encode(self, texts))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", ""]})
+    assert [len(found) for found in tasks[0](iter([batch]))] == [2]
+    assert seen == [False] and gc.isenabled()
+
+
 def test_memory_keeps_what_is_used():
     memory = packing.Memory(2)
     memory.now.update(a=1, b=2, c=3)
