@@ -328,3 +328,10 @@ def test_few_pairs_of_unstructured_vectors_stay_open():
     np.fill_diagonal(d2, np.inf)
     limit = np.minimum(np.partition(d2, 4, axis=1)[:, 4], far)
     assert set(zip(*np.nonzero(d2 <= limit[:, None]))) <= set(zip(r, c))
+
+
+def test_flagged_rows_are_scored_once(spark):
+    df = spark.createDataFrame([(i, float(i % 37), float(i % 11)) for i in range(400)], "row_id long, a double, b double")
+    flagged = iforest.iforest_flag(df, iforest.iforest_fit(df, ["a", "b"], "row_id", trees=10, psi=64), 0.1)
+    assert "EvalPython" not in flagged._jdf.queryExecution().optimizedPlan().toString()  # a reader does not score again
+    assert flagged.count() == 400 and 0 < flagged.filter("is_outlier").count() <= 40
