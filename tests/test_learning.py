@@ -335,3 +335,22 @@ def test_flagged_rows_are_scored_once(spark):
     flagged = iforest.iforest_flag(df, iforest.iforest_fit(df, ["a", "b"], "row_id", trees=10, psi=64), 0.1)
     assert "EvalPython" not in flagged._jdf.queryExecution().optimizedPlan().toString()  # a reader does not score again
     assert flagged.count() == 400 and 0 < flagged.filter("is_outlier").count() <= 40
+
+
+def test_recipes_of_one_table_share_fills_and_scalers(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(rng.normal()), None if i % 7 == 0 else float(rng.normal()), float(i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, y double")
+    recipes = {c: Recipe("ridge", ("a", "b"), {"alpha": c}, scaler="robust", fill="median") for c in (0.1, 10.0)}
+    folded = tuning.with_folds(df, "row_id", "y", 3).cache()
+    apart = {c: tuning.summarise(tuning.cross_validate(folded, r, "y", k=3)) for c, r in recipes.items()}
+    fills, scalers = [], []
+    fill, scaler = tuning.impute.impute_fit, tuning.scale.scale_fit
+    monkeypatch.setattr(tuning.impute, "impute_fit", lambda df, cols, *a, **k: fills.append(list(cols)) or fill(df, cols, *a, **k))
+    monkeypatch.setattr(tuning.scale, "scale_fit", lambda df, cols, *a, **k: scalers.append(list(cols)) or scaler(df, cols, *a, **k))
+    together = tuning.compare(folded, recipes, "y", k=3)
+    assert fills == [["b"]] * 3 and scalers == [["a", "b"]] * 3  # a column without gaps needs no median
+    for c in recipes:
+        assert together[c].keys() == apart[c].keys() and all(np.allclose(together[c][m], apart[c][m], atol=1e-9) for m in apart[c])
+    with pytest.raises(ValueError, match="unknown fill"):
+        tuning.compare(folded, {"x": Recipe("ridge", ("a",), fill="mode")}, "y", k=3)
