@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import row_hash
 from ..functions.ranks import hash_rank
 from ..functions.stats import q
-from ..session import cut_lineage
+from ..session import cached, cut_lineage
 
 
 def _with_partner(df: DataFrame, row_id: str, cols: list[str], seed) -> DataFrame:
@@ -29,24 +29,25 @@ def permutation_importance(predict: Callable[[DataFrame], DataFrame], df: DataFr
     """``feature, importance, std``: the fall of R² when one column is shuffled.
 
     ``predict`` adds ``prediction``. In every repeat all columns share one
-    shuffle join; the variants of a row go through the model together.
+    shuffle join; the variants of a row go through the model together. The rows
+    are kept while the repeats read them.
     """
     def r2_aggs():
         error = F.col(label) - F.col("prediction")
         return 1 - F.avg(error * error) / F.var_pop(F.col(label).cast("double"))
 
-    base = df.select(row_id, *[q(c).cast("double").alias(c) for c in cols], label)
-    reference = predict(base).agg(r2_aggs().alias("r2")).first()["r2"]
     falls: dict[str, list[float]] = {c: [] for c in cols}
-    for r in range(repeats):
-        pairs = _with_partner(base, row_id, cols, f"permute-{seed}-{r}")
-        variants = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), *[(F.col(f"__z{j}") if i == j else q(d)).alias(f"v{j}") for j, d in enumerate(cols)])
-            for i, c in enumerate(cols)
-        ])).alias("s")
-        long = pairs.select(row_id, label, variants).select(row_id, label, "s.feature", *[F.col(f"s.v{j}").alias(d) for j, d in enumerate(cols)])
-        for row in predict(long).groupBy("feature").agg(r2_aggs().alias("r2")).collect():
-            falls[row["feature"]].append(reference - row["r2"])
+    with cached(df.select(row_id, *[q(c).cast("double").alias(c) for c in cols], label)) as base:
+        reference = predict(base).agg(r2_aggs().alias("r2")).first()["r2"]
+        for r in range(repeats):
+            pairs = _with_partner(base, row_id, cols, f"permute-{seed}-{r}")
+            variants = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("feature"), *[(F.col(f"__z{j}") if i == j else q(d)).alias(f"v{j}") for j, d in enumerate(cols)])
+                for i, c in enumerate(cols)
+            ])).alias("s")
+            long = pairs.select(row_id, label, variants).select(row_id, label, "s.feature", *[F.col(f"s.v{j}").alias(d) for j, d in enumerate(cols)])
+            for row in predict(long).groupBy("feature").agg(r2_aggs().alias("r2")).collect():
+                falls[row["feature"]].append(reference - row["r2"])
     rows = [(c, float(np.mean(v)), float(np.std(v))) for c, v in falls.items()]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double, std double")
 

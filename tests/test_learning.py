@@ -354,3 +354,20 @@ def test_recipes_of_one_table_share_fills_and_scalers(spark, monkeypatch):
         assert together[c].keys() == apart[c].keys() and all(np.allclose(together[c][m], apart[c][m], atol=1e-9) for m in apart[c])
     with pytest.raises(ValueError, match="unknown fill"):
         tuning.compare(folded, {"x": Recipe("ridge", ("a",), fill="mode")}, "y", k=3)
+
+
+def _product(x):
+    return x.withColumn("prediction", F.col("a") * F.col("b") + 2 * F.col("c"))
+
+
+def test_permutation_importance_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def note(v: float) -> float:
+        read.add(1)
+        return v
+
+    df = spark.createDataFrame([(i, float(i % 5), float(i % 3), float(i % 7)) for i in range(50)], "row_id long, a double, b double, c double")
+    noted = df.withColumn("a", F.udf(note, "double")("a")).withColumn("y", F.col("c").cast("int"))
+    explain.permutation_importance(_product, noted, ["a", "b", "c"], "y", repeats=3)
+    assert read.value == 50
