@@ -57,7 +57,8 @@ def sampled_shapley(predict: Callable[[DataFrame], DataFrame], df: DataFrame, co
 
     For each row and order, a column's effect is the change of the prediction
     when it switches from a background row's value to the row's own, with the
-    columns before it already switched.
+    columns before it already switched. A point between two switches is scored
+    once, for the column switched last and for the one switched next.
     """
     base = df.select(row_id, *[q(c).cast("double").alias(c) for c in cols])
     pairs = _with_partner(base, row_id, cols, f"background-{seed}").withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
@@ -69,13 +70,17 @@ def sampled_shapley(predict: Callable[[DataFrame], DataFrame], df: DataFrame, co
         place.append(sum(before[1:], before[0]) if before else F.lit(0))
     placed = placed.withColumns({f"__p{i}": p for i, p in enumerate(place)})
 
-    def mixed(i, reach):
-        return [F.when(F.col(f"__p{j}") < F.col(f"__p{i}") + reach, q(d)).otherwise(F.col(f"__z{j}")).alias(f"v{j}") for j, d in enumerate(cols)]
+    def column_at(t):
+        return F.coalesce(*[F.when(F.col(f"__p{i}") == t, F.lit(c)) for i, c in enumerate(cols)])
 
-    variants = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(1.0 if reach else -1.0).alias("sign"), *mixed(i, reach))
-        for i, c in enumerate(cols) for reach in (0, 1)
+    def mixed(t):
+        return [F.when(F.col(f"__p{j}") < t, q(d)).otherwise(F.col(f"__z{j}")).alias(f"v{j}") for j, d in enumerate(cols)]
+
+    points = F.explode(F.array(*[
+        F.struct(column_at(t - 1).alias("last"), column_at(t).alias("next"), *mixed(t)) for t in range(len(cols) + 1)
     ])).alias("s")
-    long = placed.select(row_id, variants).select(row_id, "s.feature", "s.sign", *[F.col(f"s.v{j}").alias(d) for j, d in enumerate(cols)])
-    effect = predict(long).groupBy(row_id, "feature").agg((F.sum(F.col("sign") * F.col("prediction")) / permutations).alias("phi"))
+    long = placed.select(row_id, points).select(row_id, "s.last", "s.next", *[F.col(f"s.v{j}").alias(d) for j, d in enumerate(cols)])
+    sides = F.inline(F.array(*[F.struct(F.col(c).alias("feature"), F.lit(sign).alias("sign")) for c, sign in (("last", 1.0), ("next", -1.0))]))
+    steps = predict(long).select(row_id, "prediction", sides).filter("feature is not null")
+    effect = steps.groupBy(row_id, "feature").agg((F.sum(F.col("sign") * F.col("prediction")) / permutations).alias("phi"))
     return effect.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))

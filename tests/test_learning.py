@@ -360,6 +360,23 @@ def _product(x):
     return x.withColumn("prediction", F.col("a") * F.col("b") + 2 * F.col("c"))
 
 
+def test_shapley_scores_each_point_of_a_path_once(spark):
+    df = spark.createDataFrame([(i, float(i % 5), float(i % 3), float(i % 7), 1.0) for i in range(60)], "row_id long, a double, b double, c double, d double")
+    sizes = []
+
+    def predict(x):
+        sizes.append(x.count())
+        return _product(x)
+
+    cols = ["a", "b", "c", "d"]
+    found = {r["feature"]: r["mean_abs_shap"] for r in explain.sampled_shapley(predict, df, cols, permutations=3).collect()}
+    assert sizes == [60 * 3 * 5]
+    pairs = explain._with_partner(df.select("row_id", *cols), "row_id", cols, "background-42").collect()
+    assert found["c"] == pytest.approx(np.mean([abs(2 * (r["c"] - r["__z2"])) for r in pairs])) and found["d"] == 0.0
+    one = explain.sampled_shapley(lambda x: x.withColumn("prediction", F.col("c")), df, ["c"], permutations=2).collect()
+    assert [r["feature"] for r in one] == ["c"]
+
+
 def test_permutation_importance_reads_its_rows_once(spark):
     read = spark.sparkContext.accumulator(0)
 
