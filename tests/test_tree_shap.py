@@ -67,3 +67,51 @@ def test_no_rows_and_no_trees(spark):
     rows = tree_shap.tree_shap(fitted.model, df, COLS).collect()
     assert {(r["shap_base"], r["shap_a"]) for r in rows} == {(2.0, 0.0)}
     assert tree_shap.tree_shap(fitted.model, df.limit(0), COLS).count() == 0
+
+
+def grown(rng, depth, width, cuts):
+    """A random tree with a leaf at every end of full depth."""
+    rows = []
+
+    def node(level):
+        at = len(rows)
+        rows.append([-1, 0.0, False, 0, 0, float(rng.normal())])
+        if level < depth:
+            rows[at] = [int(rng.integers(width)), float(rng.choice(cuts)), bool(rng.integers(2)), node(level + 1), node(level + 1), 0.0]
+        return at
+
+    node(0)
+    return tree_shap.FlatTree(*(np.array(x) for x in zip(*rows, strict=True)))
+
+
+@pytest.mark.parametrize(("depth", "width"), [(0, 2), (5, 6), (8, 30)])
+def test_tables_of_states_give_each_leafs_values(depth, width):
+    rng = np.random.default_rng(depth)
+    cuts = np.sort(rng.normal(size=9))
+    tree = grown(rng, depth, width, cuts)
+    x = rng.normal(size=(400, width))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:40, 0] = cuts[4]  # on a threshold: left
+    edges = tree_shap.edges_of([tree], width)
+    bins = tree_shap.bins_of(list(x.T), edges)
+
+    def reached(row, node=0):
+        c = tree.column[node]
+        left = tree.missing_left[node] if np.isnan(row[c]) else row[c] <= tree.threshold[node]
+        return [node] if c < 0 else [node, *reached(row, tree.left[node] if left else tree.right[node])]
+
+    tree.set_cover(tree.counter(edges)(bins).astype(float))
+    assert tree.cover.tolist() == np.bincount([n for row in x for n in reached(row)], minlength=len(tree.column)).tolist()
+
+    def values(room):
+        parts, base, used = tree_shap.parts_of(tree, edges, room)
+        out = np.zeros((width, len(x)))
+        for part in parts:
+            part.add(bins, out)
+        assert used <= room
+        return len(parts), base, out
+
+    (few, base, tables), (leaves, same_base, direct) = values(tree_shap.CELLS), values(0)
+    assert tables == pytest.approx(direct, abs=1e-12) and base == same_base
+    assert few * 2 <= leaves or not depth  # a row looks up groups of leaves, not every leaf
+    assert tables.sum(axis=0) + base == pytest.approx(np.array([tree.value[reached(row)[-1]] for row in x]), abs=1e-9)
