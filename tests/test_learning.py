@@ -356,6 +356,26 @@ def test_recipes_of_one_table_share_fills_and_scalers(spark, monkeypatch):
         tuning.compare(folded, {"x": Recipe("ridge", ("a",), fill="mode")}, "y", k=3)
 
 
+def test_search_deals_folds_once_and_fits_equal_draws_once(orders, monkeypatch):
+    cols = ("sum_qty", "min_qty")
+    spaces = {"ridge": {"alpha": [0.1, 10.0]}, "boost_regressor": {"n_estimators": [2], "max_depth": [1, 2]}}
+    recipes = {n: Recipe(n, cols, scaler="standard") for n in spaces}
+    first, second = tuning.draw(spaces["boost_regressor"], 2)
+    assert first == second  # the seeded draws repeat here
+    apart = {n: tuning.random_search(orders, r, spaces[n], "quality", n=2, k=2, refit=False).summaries for n, r in recipes.items()}
+    dealt, fitted = [], []
+    folds, fit = tuning.splits.folds, tuning.fit
+    monkeypatch.setattr(tuning.splits, "folds", lambda *a, **k: dealt.append(1) or folds(*a, **k))
+    monkeypatch.setattr(tuning, "fit", lambda df, recipe, *a, **k: fitted.append(recipe.model) or fit(df, recipe, *a, **k))
+    top, model, found = workflows.tune_and_refit(orders, recipes, spaces, "quality", draws=2, folds=2)
+    assert len(dealt) == 1 and fitted.count("boost_regressor") == 2 + (top == "boost_regressor")
+    for n in recipes:
+        assert found[n].summaries.keys() == apart[n].keys() == {"candidate_000", "candidate_001"}
+        for run, numbers in found[n].summaries.items():
+            assert all(np.allclose(numbers[m], apart[n][run][m], atol=1e-9) for m in numbers)
+    assert model.transform(orders).filter("prediction is null").count() == 0
+
+
 def _product(x):
     return x.withColumn("prediction", F.col("a") * F.col("b") + 2 * F.col("c"))
 
