@@ -241,6 +241,43 @@ def test_toxicity(spark):
     assert rng is not None
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    # 100 labelled documents of 30,000 hold the word: a learner of some 20,000 of them does not meet all.
+    ids = [i for i in range(46_000) if zlib.crc32(str(i).encode()) % 3 != 1][:30_000]
+    rows = [(i, f"plain words{' vileword' if k < 100 else ''} {i}", int(k < 100)) for k, i in enumerate(ids)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    assert math.isclose(model.weights["vileword"], math.log(100.5 / 101) - math.log(0.5 / 29_901))
+    assert model.trigrams["^pl"] == 30_000
+
+
+def test_toxicity_counts_are_sent_on_before_they_fill_the_memory(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "tidy", lambda run: tasks.append(run) or run)
+    monkeypatch.setattr(toxicity, "COUNTED", 20)
+    tasks = []
+    labelled = spark.createDataFrame([("a", 1)], "text string, toxic int")
+    toxicity.count_features(labelled)
+    batch = pa.RecordBatch.from_pydict({"text": [f"same own{i}" for i in range(200)], "toxic": [i % 2 for i in range(200)]})
+    parts = list(tasks[0](iter([batch])))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) < 60
+    total = Counter()
+    for part in parts:
+        for feature, toxic, clean in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            total[feature] += toxic + clean
+    assert total["same"] == 200 and total["own7"] == 1 and total[" ^sa"] == 200
+
+
+def test_toxicity_curve_is_the_one_of_all_points(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=400), 1)
+    y = (x + rng.normal(size=400) > 1).astype(float)
+    counts = Counter(zip(y.tolist(), x.tolist(), strict=True))
+    points = spark.createDataFrame([(int(a), b, n) for (a, b), n in counts.items()], "toxic int, evidence double, rows long")
+    slope, intercept = toxicity.fit_curve(points)
+    p = 1 / (1 + np.exp(-(slope * x + intercept)))
+    assert abs(((y - p) * x).sum() - 0.5 * slope) < 1e-6 and abs((y - p).sum() - 0.05 * intercept) < 1e-6  # the penalised optimum
+
+
 def test_topk(spark):
     rng = np.random.default_rng(11)
     cells = np.round(rng.normal(size=(700, 9)), 3)
