@@ -4,7 +4,8 @@ The rows are dealt into blocks. Each block keeps one list per component, sorted
 lists only from the end that adds most to its score, all to the same depth. A row's lower bound adds, for lists in which it
 has not been met, the least the list holds; its upper bound adds the value last read there. Once no row outside a short list
 can reach the k-th best lower bound, reading stops and the scores of that list are resolved. Bounds are kept for all queries
-of a block at a time, as matrix products. The best k of each block are merged by a ranked window.
+of a block at a time, as matrix products. Groups of blocks and groups of queries, ``GROUP_BYTES`` of each, meet in one task, which
+keeps the best k of the group; these are merged by a ranked window. Nothing that grows with the rows comes to the driver.
 
 Queries are the stated set of rows, met with all blocks. Scores are sums of whole numbers and exact. Null vectors and vectors
 with null or non-finite components take no part; shorter vectors are filled up with zeros; of rows that share a vec_id one
@@ -13,8 +14,6 @@ counts (the smallest vector). Equal scores are ranked by vec_id. An empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +23,8 @@ from .common import stored
 from .vectors import finite, packed
 
 BLOCK, QUERIES, DEPTHS = 1024, 256, (0.125, 0.25, 0.5, 0.75)
+#: Bytes of row blocks, and of query blocks, that meet in one task at a time, and the groups of rows that are made if there are blocks enough.
+GROUP_BYTES, LEAST_GROUPS = 1 << 23, 64
 HIT = "query_id long, vec_id long, score long"
 
 
@@ -73,25 +74,41 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 5, scale: int = 256
     rows = stored(whole.groupBy("vec_id").agg(F.min("vector").alias("vector")), "whole-vectors")
     asked = rows.filter(is_query)
     count, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    lists = stored(packed(rows, block, count, width), "row-blocks")
-    asks = stored(packed(asked, QUERIES, asked.count(), width), "query-blocks")
-    blocks = max(1, -(-count // block))
+    questions = asked.count()
+    lists = packed(rows, block, count, width)
+    asks = packed(asked, QUERIES, questions, width)
+    blocks, fit = -(-count // block), lambda size: max(1, GROUP_BYTES // (size * max(1, width) * 8))
+    row_groups = max(1, -(-blocks // fit(block)), min(blocks, LEAST_GROUPS))
+    ask_groups = max(1, -(-questions // (QUERIES * fit(QUERIES))))
+
+    def best(i: np.ndarray, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Places of the k best of each query."""
+        order = np.lexsort((ids, -score, i))
+        sorted_i = i[order]
+        return order[np.arange(len(i)) - np.searchsorted(sorted_i, sorted_i) < k]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for q_ids, q_cells, r_ids, r_cells in zip(frame["q_ids"], frame["q_cells"], frame["ids"], frame["cells"], strict=True):
-                query_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(r_ids, np.int64)
-                queries = np.frombuffer(q_cells, np.int64).reshape(len(query_ids), width)
+    def meet(held: pd.DataFrame, posed: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)]
+        for q_ids, q_cells in zip(posed["ids"], posed["cells"], strict=True):
+            query_ids = np.frombuffer(q_ids, np.int64)
+            queries = np.frombuffer(q_cells, np.int64).reshape(len(query_ids), width)
+            found = [(np.zeros(0, np.int64),) * 3]
+            for r_ids, r_cells in zip(held["ids"], held["cells"], strict=True):
+                ids = np.frombuffer(r_ids, np.int64)
                 cells = np.frombuffer(r_cells, np.int64).reshape(len(ids), width)
                 i, j = best_of_block(queries, query_ids, cells, ids, k)
                 score = exact_scores(queries, cells, i, j)
-                best = np.lexsort((ids[j], -score, i))
-                i, j, score = i[best], j[best], score[best]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                keep = place < k
-                yield pd.DataFrame({"query_id": query_ids[i[keep]], "vec_id": ids[j[keep]], "score": score[keep]})
+                keep = best(i, ids[j], score)
+                found.append((i[keep], ids[j[keep]], score[keep]))
+            i, ids, score = map(np.concatenate, zip(*found, strict=True))
+            keep = best(i, ids, score)
+            out.append(pd.DataFrame({"query_id": query_ids[i[keep]], "vec_id": ids[keep], "score": score[keep]}))
+        return pd.concat(out)
 
-    met = asks.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
-    hits = met.join(lists, "block").select("q_ids", "q_cells", "ids", "cells").mapInPandas(run, HIT)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # Both sides are dealt by group: a join would be free to broadcast the queries' copies, whose size Spark cannot foresee.
+    every = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    held = lists.select(F.pmod("block", F.lit(row_groups)).alias("row_group"), every(ask_groups).alias("ask_group"), "ids", "cells")
+    posed = asks.select(every(row_groups).alias("row_group"), F.pmod("block", F.lit(ask_groups)).alias("ask_group"), "ids", "cells")
+    hits = held.groupBy("row_group", "ask_group").cogroup(posed.groupBy("row_group", "ask_group")).applyInPandas(meet, HIT)
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

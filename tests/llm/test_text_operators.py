@@ -294,6 +294,26 @@ def test_topk(spark):
     assert topk.search(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_topk_in_many_groups_without_a_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    cells = rng.integers(-20, 20, (600, 5)) / 256
+    table = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(cells)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "QUERIES", 32)
+    monkeypatch.setattr(topk, "GROUP_BYTES", 2 * 64 * 5 * 8)
+    found = topk.search(table, F.col("vec_id") % 3 == 0, block=64)
+    # The queries' copies are one to each group of rows: their size is unknown to Spark, so none may be sent to all tasks by way of the driver.
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = np.floor(256 * cells).astype(int)
+    scores = whole @ whole.T
+    assert sorted(got) == list(range(0, 600, 3))
+    for q, rows in got.items():
+        best = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:5]
+        assert sorted(rows) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 def test_pivot_recall(spark):
     rng = np.random.default_rng(13)
     a = rng.normal(size=(600, 32))
