@@ -111,6 +111,12 @@ def test_weights_reach_every_classifier_and_unknown_parameters_raise(spark):
         models.estimator("forest_regressor", {"min_samples_splitt": 2})
 
 
+def test_classes_of_a_kernel_machine_are_fitted_by_turns_where_their_rows_are_many():
+    wanted = {"n_components": 50, "parallelism": 3}
+    assert [models.estimator("rbf_svc", wanted, n).getParallelism() for n in (None, 1000, 1_000_000, 50_000_000)] == [3, 3, 1, 1]
+    assert models.estimator("linear_svc", {"parallelism": 3}, 50_000_000).getParallelism() == 3
+
+
 def test_index_column_is_found_by_its_order(spark):
     df = spark.createDataFrame([(i * 3, 10 - i, i) for i in range(10)], "number int, falling int, place int")
     assert tables.drop_index(df, order="place").columns == ["falling", "place"]
