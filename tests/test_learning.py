@@ -1,4 +1,7 @@
 import json
+import threading
+import time
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -111,12 +114,33 @@ def test_weights_reach_every_classifier_and_unknown_parameters_raise(spark):
         models.estimator("forest_regressor", {"min_samples_splitt": 2})
 
 
-def test_classes_of_a_kernel_machine_are_fitted_by_turns_where_their_rows_are_many():
+def test_classes_of_a_kernel_machine_are_fitted_by_turns_where_their_rows_are_many(spark):
     wanted = {"n_components": 50, "parallelism": 3}
     assert [models.estimator("rbf_svc", wanted, n).getParallelism() for n in (None, 1000, 1_000_000, 50_000_000)] == [3, 3, 1, 1]
     assert models.estimator("linear_svc", {"parallelism": 3}, 50_000_000).getParallelism() == 3
 
 
+@pytest.mark.parametrize("held,most", [(1, 1), (2 * 60 * 1000, 2), (1 << 29, 6)])
+def test_compared_fits_run_by_turns_where_their_rows_are_many(spark, monkeypatch, held, most):
+    seen, now, lock = [], [0], threading.Lock()
+
+    def fit(train, recipe, label, row_id, learned=None):
+        with lock:
+            now[0] += 1
+            seen.append(now[0])
+        time.sleep(0.2)
+        with lock:
+            now[0] -= 1
+        return SimpleNamespace(transform=lambda df: df.withColumn("prediction", F.lit(1.0)))
+
+    monkeypatch.setattr(tuning, "fit", fit)
+    monkeypatch.setattr(models, "HELD", held)
+    df = spark.createDataFrame([(i, float(i), i % 2) for i in range(60)], "row_id int, a double, y int")
+    recipes = {str(t): Recipe("forest_classifier", ("a",), {"n_estimators": t}) for t in (220, 222)}
+    found = tuning.compare(df, recipes, "y", k=3)
+    assert set(found) == set(recipes) and len(seen) == 6 and max(seen) <= most
+
+
 def test_index_column_is_found_by_its_order(spark):
     df = spark.createDataFrame([(i * 3, 10 - i, i) for i in range(10)], "number int, falling int, place int")
     assert tables.drop_index(df, order="place").columns == ["falling", "place"]
